@@ -76,7 +76,9 @@ def project_check(state: State, requests: DataFrame) -> DataFrame:
 def _flagged(df: DataFrame, table: DataFrame, on: dict[str, str], flag: str) -> DataFrame:
     """Left join on distinct keys that leaves one boolean column behind."""
     keys = table.select(*[F.col(t).alias(f"__{t}") for t in on.values()]).distinct()
-    keys = broadcast_if_small(keys.withColumn("__hit", F.lit(True)))
+    keys = keys.withColumn("__hit", F.lit(True))
+    if table.columns == ["course_id"]:  # few courses, each with many rows on the other side
+        keys = broadcast_if_small(keys)
     match = F.lit(True)
     for c, t in on.items():
         match = match & (F.col(c) == F.col(f"__{t}"))
@@ -88,12 +90,12 @@ def _flagged(df: DataFrame, table: DataFrame, on: dict[str, str], flag: str) ->
 
 
 def _with_role(df: DataFrame, state: State, who: str, column: str) -> DataFrame:
-    roles = broadcast_if_small(state.users.select(F.col("user_id").alias("__who"), F.col("role").alias(column)))
+    roles = state.users.select(F.col("user_id").alias("__who"), F.col("role").alias(column))
     return df.join(roles, F.col(who) == F.col("__who"), "left").drop("__who")
 
 
 def _with_course(df: DataFrame, state: State) -> DataFrame:
-    return _flagged(df, live(state.courses), {"course": "course_id"}, "has_course")
+    return _flagged(df, live(state.courses).select("course_id"), {"course": "course_id"}, "has_course")
 
 
 def _with_enrolment(df: DataFrame, state: State, student: str = "student") -> DataFrame:

@@ -215,7 +215,7 @@ def grade_history(
 def completions(
     events: DataFrame, project_table: DataFrame, order: Sequence[str] = ("seq",), hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """(student, course, at): the first accepted rating after which the student has passed
+    """(student, course, done_at): the first accepted rating after which the student has passed
     every project the course had by then. Later projects or submissions do not revoke it.
 
     ``order`` must begin with ``seq``, the time that is compared with the projects' ``seq``.
@@ -231,7 +231,7 @@ def completions(
         .filter((F.col("seq") >= F.col("__from")) & (F.col("__to").isNull() | (F.col("seq") < F.col("__to"))))
         .filter(F.col("passes") == F.col("__open"))
         .groupBy("student", "course")
-        .agg(F.min("seq").alias("at"))
+        .agg(F.min("seq").alias("done_at"))
     )
 
 
