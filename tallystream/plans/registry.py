@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,5 +24,11 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def six(value: Column | str) -> Column:
+    """Six places. The nudge keeps exact halves (sums over a power of two) off the rounding
+    edge, where the order of a floating-point sum would decide; the SQL does the same."""
+    return F.round((F.col(value) if isinstance(value, str) else value) + 1e-9, 6)
+
+
 def load_all() -> None:
     from tallystream.plans import contacts, ledger, proximity, sensors, streams, trends  # noqa: F401

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallystream.functions import scalars as fn
 from tallystream.operators import countwindow as cw
 from tallystream.operators import ordered
-from tallystream.plans.registry import query
+from tallystream.plans.registry import query, six
 from tallystream.plans.tables import readings, table
 
 # Fixed values of the query set: window settings of the five keys.
@@ -39,34 +39,34 @@ def _frames(size, keys="key", rn="rn", source="n"):
     "count_window_agg",
     N_SQL
     + _frames(10)
-    + """ select key, ((rn - 9) // 5)::bigint as k, round(a, 6) as average, mx as "max", ts
+    + """ select key, ((rn - 9) // 5)::bigint as k, round(a + 1e-9, 6) as average, mx as "max", ts
     from w where rn >= 9 and (rn - 9) % 5 = 0""",
 )
 def count_window_agg(spark, d):
     out = cw.count_window(readings(spark, d), "key", "seq", "value", 10, 5, ["average", "max"], ts="ts")
-    return out.withColumn("average", F.round("average", 6))
+    return out.withColumn("average", six("average"))
 
 
 @query(
     "count_window_overlapping",
     N_SQL
     + _frames(100)
-    + """ select key, ((rn - 99) // 7)::bigint as k, round(a, 6) as average, mn as "min"
+    + """ select key, ((rn - 99) // 7)::bigint as k, round(a + 1e-9, 6) as average, mn as "min"
     from w where rn >= 99 and (rn - 99) % 7 = 0""",
 )
 def count_window_overlapping(spark, d):
     out = cw.count_window(readings(spark, d), "key", "seq", "value", 100, 7, ["average", "min"])
-    return out.withColumn("average", F.round("average", 6))
+    return out.withColumn("average", six("average"))
 
 
 @query(
     "named_aggregate",
-    """select event_type as key, round(avg(value), 6) as average, round(sum(value), 4) as "sum",
+    """select event_type as key, round(avg(value) + 1e-9, 6) as average, round(sum(value), 4) as "sum",
        max(value) as "max", min(value) as "min" from events group by 1""",
 )
 def named_aggregate(spark, d):
     columns = {name: cw.named_aggregate(name.upper())("value") for name in cw.AGGREGATES}
-    columns["average"] = F.round(columns["average"], 6)
+    columns["average"] = six(columns["average"])
     columns["sum"] = F.round(columns["sum"], 4)
     return readings(spark, d).groupBy("key").agg(*[c.alias(n) for n, c in columns.items()])
 
@@ -81,12 +81,12 @@ def named_aggregate(spark, d):
          min(value) over (partition by n.key order by rn rows between 11 preceding and current row) as n12
          from n join c on n.key = c.key)
       select key, ((rn - window_size + 1) // slide)::bigint as k, fn,
-        round(case fn when 'average' then a10 when 'sum' then s10 when 'max' then x10 else n12 end, 6) as value
+        round(case fn when 'average' then a10 when 'sum' then s10 when 'max' then x10 else n12 end + 1e-9, 6) as value
       from w where rn >= window_size - 1 and (rn - window_size + 1) % slide = 0""",
 )
 def per_key_config_agg(spark, d):
     out = cw.count_window_by_config(readings(spark, d), config(spark), "key", "seq", "value")
-    return out.withColumn("value", F.round("value", 6))
+    return out.withColumn("value", six("value"))
 
 
 @query(
@@ -94,12 +94,12 @@ def per_key_config_agg(spark, d):
     N_SQL
     + ", l as (select key, (rn % 4)::int as lane, value, ts, rn // 4 as lrn from n)"
     + _frames(10, "key, lane", "lrn", "l")
-    + """ select key, lane, ((lrn - 9) // 5)::bigint as k, round(a, 6) as average
+    + """ select key, lane, ((lrn - 9) // 5)::bigint as k, round(a + 1e-9, 6) as average
     from w where lrn >= 9 and (lrn - 9) % 5 = 0""",
 )
 def lane_count_window(spark, d):
     out = cw.lane_window(readings(spark, d), "key", "seq", "value", 10, 5, n=4)
-    return out.withColumn("average", F.round("average", 6))
+    return out.withColumn("average", six("average"))
 
 
 def _spread(values: list[float]) -> float:
@@ -110,11 +110,11 @@ def _spread(values: list[float]) -> float:
     "custom_window_aggregate",
     N_SQL
     + """, w as (select *, value - lag(value, 9) over (partition by key order by rn) as spread from n)
-    select key, ((rn - 9) // 5)::bigint as k, round(spread, 6) as value from w where rn >= 9 and (rn - 9) % 5 = 0""",
+    select key, ((rn - 9) // 5)::bigint as k, round(spread + 1e-9, 6) as value from w where rn >= 9 and (rn - 9) % 5 = 0""",
 )
 def custom_window_aggregate(spark, d):
     out = cw.count_window_apply(readings(spark, d), "key", "seq", "value", 10, 5, _spread)
-    return out.withColumn("value", F.round("value", 6))
+    return out.withColumn("value", six("value"))
 
 
 @query(
@@ -128,14 +128,14 @@ def sequence_numbers(spark, d):
 
 @query(
     "running_window_frames",
-    """select event_id, round(avg(value) over f, 6) as avg_10, max(value) over f as max_10 from events
+    """select event_id, round(avg(value) over f + 1e-9, 6) as avg_10, max(value) over f as max_10 from events
        window f as (partition by event_type order by event_id rows between 9 preceding and current row)""",
 )
 def running_window_frames(spark, d):
     out = ordered.rolling(
         readings(spark, d).select("key", "seq", "value"), "key", "seq", 10, {"avg_10": F.avg("value"), "max_10": F.max("value")}
     )
-    return out.select(F.col("seq").alias("event_id"), F.round("avg_10", 6).alias("avg_10"), "max_10")
+    return out.select(F.col("seq").alias("event_id"), six("avg_10").alias("avg_10"), "max_10")
 
 
 @query(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallystream.operators import trends as op
-from tallystream.plans.registry import query
+from tallystream.plans.registry import query, six
 from tallystream.plans.tables import membership, table
 
 DAILY_SQL = """
@@ -28,56 +28,56 @@ def _trend(spark, d):
 
 @query(
     "daily_group_avg",
-    DAILY_SQL + "select date::timestamp as date, grp, round(a, 6) as daily_avg from d",
+    DAILY_SQL + "select date::timestamp as date, grp, round(a + 1e-9, 6) as daily_avg from d",
 )
 def daily_group_avg(spark, d):
-    return daily(spark, d).select("date", "grp", F.round("daily_avg", 6).alias("daily_avg"))
+    return daily(spark, d).select("date", "grp", six("daily_avg").alias("daily_avg"))
 
 
 @query(
     "daily_group_avg_direct",
     """select date_trunc('day', ts)::timestamp + interval 1 day as date, event_type as grp,
-       round(avg(value), 6) as daily_avg from events group by 1, 2""",
+       round(avg(value) + 1e-9, 6) as daily_avg from events group by 1, 2""",
 )
 def daily_group_avg_direct(spark, d):
     out = op.daily_average(table(spark, d, "events"), "ts", "event_type", "value")
-    return out.select("date", "grp", F.round("daily_avg", 6).alias("daily_avg"))
+    return out.select("date", "grp", six("daily_avg").alias("daily_avg"))
 
 
 @query(
     "moving_avg_7d",
-    DAILY_SQL + "select date::timestamp as date, grp, round(m, 6) as moving_avg from m",
+    DAILY_SQL + "select date::timestamp as date, grp, round(m + 1e-9, 6) as moving_avg from m",
 )
 def moving_avg_7d(spark, d):
     out = op.moving_average(daily(spark, d))
-    return out.select("date", "grp", F.round("moving_avg", 6).alias("moving_avg"))
+    return out.select("date", "grp", six("moving_avg").alias("moving_avg"))
 
 
 @query(
     "window_first_last",
     DAILY_SQL
-    + "select date::timestamp as date, grp, round(f, 6) as first_avg, round(l, 6) as last_avg from m",
+    + "select date::timestamp as date, grp, round(f + 1e-9, 6) as first_avg, round(l + 1e-9, 6) as last_avg from m",
 )
 def window_first_last(spark, d):
     return _trend(spark, d).select(
-        "date", "grp", F.round("first_avg", 6).alias("first_avg"), F.round("last_avg", 6).alias("last_avg")
+        "date", "grp", six("first_avg").alias("first_avg"), six("last_avg").alias("last_avg")
     )
 
 
-@query("percent_change", DAILY_SQL + "select date::timestamp as date, grp, round(pct, 6) as pct from m")
+@query("percent_change", DAILY_SQL + "select date::timestamp as date, grp, round(pct + 1e-9, 6) as pct from m")
 def percent_change(spark, d):
-    return _trend(spark, d).select("date", "grp", F.round("pct", 6).alias("pct"))
+    return _trend(spark, d).select("date", "grp", six("pct").alias("pct"))
 
 
 @query(
     "top_group_per_day",
     DAILY_SQL
-    + """select date::timestamp as date, grp as top_group, round(pct, 6) as highest_increase
+    + """select date::timestamp as date, grp as top_group, round(pct + 1e-9, 6) as highest_increase
     from (select *, row_number() over (partition by date order by pct desc nulls last, grp desc) r from m) where r = 1""",
 )
 def top_group_per_day(spark, d):
     return op.top_increase(_trend(spark, d)).select(
-        "date", "top_group", F.round("highest_increase", 6).alias("highest_increase")
+        "date", "top_group", six("highest_increase").alias("highest_increase")
     )
 
 
