@@ -327,7 +327,7 @@ def event_log_source(spark, d):
 
 @query(
     "event_log_encode",
-    f"""with {LOG_SQL} select topic, key, count(*) as n, sum(length(value)) as chars from (
+    f"""with {LOG_SQL} select topic, key, count(*) as n, sum(length(value))::bigint as chars from (
        select 'course-events' as topic, case type when 'ENROLL' then p else c end::varchar as key,
          case type when 'CREATE' then '{{"type":"CREATE","data":"' || c || ',course ' || p || ',' || o || ',false"}}'
          when 'DELETE' then '{{"type":"DELETE","data":"' || c || '"}}'
