@@ -110,7 +110,7 @@ def enrolments(log: DataFrame, users: DataFrame, courses: DataFrame) -> DataFram
         F.min("seq").alias("since")
     )
     students = users.filter(F.col("role") == "STUDENT").select(F.col("user_id").alias("student"))
-    open_courses = live(courses).select(F.col("course_id").alias("course"))
+    open_courses = broadcast_if_small(live(courses).select(F.col("course_id").alias("course")))
     return wanted.join(students, "student", "left_semi").join(open_courses, "course", "left_semi")
 
 
@@ -281,24 +281,48 @@ def course_status(enrolled: DataFrame, courses: DataFrame, done: DataFrame) -> D
 
 
 # -- collected forms ------------------------------------------------------------------
-# Each list or map below is the result itself, as long as the group it describes.
+# A list or map is the result itself. One of more than PAGE_ROWS entries comes out as
+# several rows, its pages, so that no value grows with the data; all others have page 0 only.
 
+PAGE_ROWS = 100_000
 
-def evaluation_map(votes: DataFrame) -> DataFrame:
-    """(course, project, votes map<student, vote>)."""
+
+def paged(df: DataFrame, keys: Sequence[str], item: str, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """Add ``page``: the entries of large groups are spread evenly by a hash of ``item``."""
+    large = df.groupBy(*keys).count().filter(F.col("count") > page_rows)
+    pages = broadcast_if_small(
+        large.select(*keys, F.ceil(F.col("count") / page_rows).cast("int").alias("__pages"))
+    )
+    spread = F.pmod(F.xxhash64(item), F.coalesce("__pages", F.lit(1)))
+    return df.join(pages, list(keys), "left").withColumn("page", spread.cast("int")).drop("__pages")
+
+
+def evaluation_map(votes: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(course, project, page, votes map<student, vote>)."""
     entries = F.sort_array(F.collect_list(F.struct(F.col("student").cast("string").alias("k"), F.col("vote").alias("v"))))
-    return votes.groupBy("course", "project").agg(F.map_from_entries(entries).alias("votes"))
+    return (
+        paged(votes, ["course", "project"], "student", page_rows)
+        .groupBy("course", "project", "page")
+        .agg(F.map_from_entries(entries).alias("votes"))
+    )
+
+
+def completed_map(done: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(student, page, courses)."""
+    return _lists(done, "student", "course", "courses", page_rows)
 
 
-def completed_map(done: DataFrame) -> DataFrame:
-    return done.groupBy("student").agg(F.sort_array(F.collect_set("course")).alias("courses"))
+def rosters(enrolled: DataFrame, project_table: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
+    """(course, page, students, projects)."""
+    who = _lists(enrolled, "course", "student", "students", page_rows)
+    what = _lists(project_table, "course", "project", "projects", page_rows)
+    return who.join(what, ["course", "page"], "full")
 
 
-def rosters(enrolled: DataFrame, project_table: DataFrame) -> DataFrame:
-    """(course, students, projects)."""
-    who = enrolled.groupBy("course").agg(F.sort_array(F.collect_set("student")).alias("students"))
-    what = project_table.groupBy("course").agg(F.sort_array(F.collect_set("project")).alias("projects"))
-    return who.join(what, "course", "full")
+def _lists(df: DataFrame, key: str, item: str, name: str, page_rows: int) -> DataFrame:
+    once = df.select(key, item).distinct()
+    listed = F.sort_array(F.collect_list(item)).alias(name)
+    return paged(once, [key], item, page_rows).groupBy(key, "page").agg(listed)
 
 
 def has_role(role: Column | str, wanted: str) -> Column:

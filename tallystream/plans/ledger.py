@@ -349,36 +349,37 @@ def relational_division(spark, d):
     "evaluation_map",
     _sql(
         VOTE_SQL.replace("{pick}", "max"),
-        """select course, project, string_agg(student || '=' || vote, ',' order by student::varchar) as votes
+        """select course, project, 0 as page, string_agg(student || '=' || vote, ',' order by student::varchar) as votes
         from votes group by 1, 2""",
     ),
 )
 def evaluation_map(spark, d):
     text = F.transform(F.map_entries("votes"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return lg.evaluation_map(_votes(spark, d)).select("course", "project", F.array_join(text, ",").alias("votes"))
+    return lg.evaluation_map(cut_lineage(_votes(spark, d))).select("course", "project", "page", F.array_join(text, ",").alias("votes"))
 
 
 @query(
     "completed_map",
-    _sql(DONE_SQL, "select student, string_agg(course, ',' order by course) as courses from done group by 1"),
+    _sql(DONE_SQL, "select student, 0 as page, string_agg(course, ',' order by course) as courses from done group by 1"),
 )
 def completed_map(spark, d):
-    return lg.completed_map(_completions(spark, d)).withColumn("courses", F.array_join("courses", ","))
+    return lg.completed_map(cut_lineage(_completions(spark, d))).withColumn("courses", F.array_join("courses", ","))
 
 
 @query(
     "course_rosters",
     _sql(
         BASE_SQL,
-        """select course, s as students, p as projects from
+        """select course, 0 as page, s as students, p as projects from
         (select course, string_agg(student::varchar, ',' order by student) as s from enrol group by 1) full join
         (select course, string_agg(project, ',' order by project) as p from proj group by 1) using (course)""",
     ),
 )
 def course_rosters(spark, d):
-    out = lg.rosters(_enrolments(spark, d), _projects(spark, d))
+    out = lg.rosters(cut_lineage(_enrolments(spark, d)), _projects(spark, d))
     return out.select(
         "course",
+        "page",
         F.array_join(F.col("students").cast("array<string>"), ",").alias("students"),
         F.array_join("projects", ",").alias("projects"),
     )

@@ -20,7 +20,8 @@ WINDOWS = [
 
 
 def config(spark):
-    return spark.createDataFrame(WINDOWS, "key string, window_size int, slide int, fn string")
+    rows = ", ".join(map(str, WINDOWS))
+    return spark.sql(f"select * from values {rows} as c(key, window_size, slide, fn)")
 
 
 CONFIG_SQL = "c(key, window_size, slide, fn) as (values " + ", ".join(map(str, WINDOWS)) + ")"

@@ -129,6 +129,17 @@ def test_maps_and_rosters(spark):
     assert lg.completed_map(done).first()["courses"] == ["c1", "c2"]
 
 
+def test_large_lists_come_in_pages(spark):
+    enrolled = spark.range(1000).select(F.lit("c1").alias("course"), F.col("id").alias("student"))
+    enrolled = enrolled.unionByName(spark.createDataFrame([("c2", 1)], "course string, student bigint"))
+    projects = spark.createDataFrame([("c1", "p1"), ("c2", "p1")], "course string, project string")
+    got = lg.rosters(enrolled, projects, page_rows=100).collect()
+    big = [r for r in got if r["course"] == "c1"]
+    assert len(big) == 10 and sorted(s for r in big for s in r["students"]) == list(range(1000))
+    assert max(len(r["students"]) for r in big) < 150
+    assert [(r["page"], r["students"], r["projects"]) for r in got if r["course"] == "c2"] == [(0, [1], ["p1"])]
+
+
 def test_await_join_keeps_unresolved_facts(spark):
     facts = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-01"), (3, "2024-01-01")], "id int, f string")
     dims = spark.createDataFrame([(1, "2024-01-02"), (2, "2024-02-01")], "id int, d string")
