@@ -202,12 +202,37 @@ def _staged_in_order(df: DataFrame, time: str, label: str, parts: int = 3) -> st
     return folder
 
 
-def _maintained(spark: SparkSession, log: DataFrame, name: str, order: list[str]) -> DataFrame:
-    folder = _staged_in_order(log, "seq", f"{name}-log")
+def _maintain(spark: SparkSession, log: DataFrame, names: list[str], order: list[str]) -> dict[str, DataFrame]:
+    folder = _staged_in_order(log, "seq", "state-log")
     stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    path = fresh_dir(spark, f"{name}-state")
-    done = sev.maintain_tables(stream, path, fresh_dir(spark, f"{name}-checkpoint"), [name], order, buckets=8)
-    return sev.read_state(spark, path, name, done.lastProgress["batchId"])
+    path = fresh_dir(spark, "state")
+    done = sev.maintain_tables(stream, path, fresh_dir(spark, "state-checkpoint"), names, order, buckets=8)
+    last = done.lastProgress["batchId"]
+    return {name: sev.read_state(spark, path, name, last) for name in names}
+
+
+def _maintained(spark: SparkSession, log: DataFrame, name: str, order: list[str]) -> DataFrame:
+    return _maintain(spark, log, [name], order)[name]
+
+
+@query(
+    "streaming_state_tables",
+    f"""with {ULOG_SQL}, {OFFER_SQL} select 'users' as tbl, user_id as id, name, role = 'STUDENT' as flag from ustate
+        union all select 'courses', course_id, name, is_deleted from ostate""",
+)
+def streaming_state_tables(spark, d):
+    """Users and courses kept from one log."""
+    own = _session(spark)
+    log = lg.union_logs(t.offer_log(own, d), t.user_log(own, d).withColumn("type", F.lit("USER")))
+    state = _maintain(own, log, ["users", "courses"], [*t.OFFER_ORDER, "tie"])
+    users = state["users"].select(
+        F.lit("users").alias("tbl"), F.col("user_id").alias("id"), "name", (F.col("role") == "STUDENT").alias("flag")
+    )
+    return users.unionByName(
+        state["courses"].select(
+            F.lit("courses").alias("tbl"), F.col("course_id").alias("id"), "name", F.col("is_deleted").alias("flag")
+        )
+    )
 
 
 @query(
@@ -406,6 +431,18 @@ def micro_batch_flush(spark, d):
     return own.read.schema(rows.schema).parquet(out)
 
 
+@query("idle_stop", "select event_type as key, event_id as seq, value from events")
+def idle_stop(spark, d):
+    """A query without an end, stopped once nothing has come in for a second."""
+    own = _session(spark)
+    out = fresh_dir(own, "idle-out")
+    rows = _reading_stream(own, d).select("key", "seq", "value")
+    running = srun.run_stream(rows, out, fresh_dir(own, "idle-checkpoint"), available_now=False)
+    running.processAllAvailable()
+    srun.stop_when_idle(running, seconds=1)
+    return own.read.schema(rows.schema).parquet(out)
+
+
 @query("replay_from_earliest", "select event_type as key, event_id as seq, value from events")
 def replay_from_earliest(spark, d):
     """Two runs on one checkpoint: the second finds nothing left to do."""
