@@ -12,6 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystream.functions.scalars import clamp_reflect, distance3, slice_of
+from tallystream.operators.sizing import CROWD_ROWS, spread_crowds
 
 AXES = ("x", "y", "z")
 
@@ -100,18 +101,22 @@ def proximity_join(
     d: float,
     condition: Callable[[Callable[[str], Column], Callable[[str], Column]], Column] | None = None,
     keep: Sequence[str] = ("size",),
+    crowd_rows: int = CROWD_ROWS,
 ) -> DataFrame:
     """All ordered pairs of different entities at a distance of at most ``d``.
 
     ``condition(a, b)`` may narrow the pairs; ``a("size")`` is a column of the first entity.
-    Columns: a_id, b_id, distance, and a_*, b_* for the columns in ``keep``.
+    Columns: a_id, b_id, distance, and a_*, b_* for the columns in ``keep``. The pairs of a
+    cell with more than ``crowd_rows`` entities are spread over tasks.
     """
     wanted = ["id", *AXES, *keep]
     points = df.select(*wanted, *_cell(d))
     left = points.select(*[F.col(c).alias(f"a_{c}") for c in wanted], F.explode(_around()).alias("cell"))
     left = left.select("*", "cell.*").drop("cell")
     right = points.select(*[F.col(c).alias(f"b_{c}") for c in wanted], "c0", "c1", "c2")
-    pairs = left.join(right, ["c0", "c1", "c2"]).filter(F.col("a_id") != F.col("b_id"))
+    cell = ["c0", "c1", "c2"]
+    left, right = spread_crowds(left, right, cell, "a_id", crowd_rows)
+    pairs = left.join(right, [*cell, "salt"]).filter(F.col("a_id") != F.col("b_id"))
     if condition is not None:
         pairs = pairs.filter(condition(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}")))
     dist = distance3([f"a_{a}" for a in AXES], [f"b_{a}" for a in AXES])

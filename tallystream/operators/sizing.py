@@ -28,3 +28,27 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     for c in on:
         condition = condition & left[c].eqNullSafe(renamed[f"__{c}"])
     return left.join(renamed, condition, how).drop(*[f"__{c}" for c in on])
+
+
+CROWD_ROWS = 2_000
+
+
+def spread_crowds(
+    left: DataFrame, right: DataFrame, on: Sequence[str], left_id: str, crowd_rows: int = CROWD_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``on`` with a salt, so that a crowded key uses many tasks.
+
+    A key with more than ``crowd_rows`` rows on the right is cut into parts: a left row goes
+    to one part by a hash of ``left_id``, a right row to all of them. Join on
+    ``[*on, "salt"]``; the pairs are the same as without the salt.
+    """
+    crowded = (
+        right.groupBy(*on)
+        .count()
+        .filter(F.col("count") > crowd_rows)
+        .select(*on, F.ceil(F.col("count") / crowd_rows).cast("int").alias("__parts"))
+    )
+    parts = F.coalesce("__parts", F.lit(1))
+    salted = left.join(crowded, list(on), "left").withColumn("salt", F.pmod(F.xxhash64(left_id), parts).cast("int"))
+    copied = right.join(crowded, list(on), "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return salted.drop("__parts"), copied.drop("__parts")

@@ -93,7 +93,8 @@ def stop_when_idle(query: StreamingQuery, seconds: float = IDLE_SECONDS, poll: f
 
 
 def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because they were older than the watermark."""
+    """Rows dropped because they were older than the watermark, over the progress reports
+    Spark keeps (``spark.sql.streaming.numRecentProgressUpdates``)."""
     return sum(
         int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"]
     )

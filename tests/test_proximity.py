@@ -66,6 +66,8 @@ def test_dominant_neighbours_brute_force(spark, seed, spread, sizes):
     want = brute(points, 0.5)
     assert rows(px.dominant_neighbours(df, 0.5)) == want
     assert rows(px.dominant_match(px.larger_neighbours(df, 0.5))) == want
+    plain, salted = px.proximity_join(df, 0.5, keep=()), px.proximity_join(df, 0.5, keep=(), crowd_rows=10)
+    assert salted.exceptAll(plain).count() == 0 and salted.count() == plain.count()
 
 
 def test_crowd_forms_no_pairs(spark):
