@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallystream.llm import decontaminate, html_extract, packing, pii, quality_rules, sharding, token_counts
+from tallystream.llm import decontaminate, html_extract, minhash, packing, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -137,3 +137,58 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html_extract")
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query(
+    "op1_minhash_dedup",
+    rf"""
+    with recursive docs as (
+        select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as words from documents
+    ), shingles as (
+        select distinct doc_id, list_slice(words, s, s + 4) as shingle
+        from docs, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as u(s) where len(words) > 0
+    ), sizes as (select doc_id, count(*) as n from shingles group by doc_id), commons as (
+        select a.doc_id as u, b.doc_id as v, count(*) as c from shingles a join shingles b using (shingle)
+        where a.doc_id <> b.doc_id group by all
+    ), links as (
+        select u, v from commons join sizes x on x.doc_id = u join sizes y on y.doc_id = v where 100 * c >= 85 * (x.n + y.n - c)
+    ), reach as (
+        select doc_id, doc_id as other from documents union select r.doc_id, v from reach r join links on r.other = u
+    )
+    select doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id, doc_id = min(other) as kept
+    from reach left join sizes using (doc_id) group by doc_id
+    """,
+)
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@query(
+    "op7_substring_dedup",
+    rf"""
+    with docs as (select doc_id, {_WORDS} as words from documents), windows as (
+        select doc_id, s, sha256(array_to_string(list_slice(words, s, s + 19), ' ')) as w
+        from docs, unnest(range(1, len(words) - 18)) as u(s)
+    ), later as (
+        select doc_id, s from windows qualify row_number() over (partition by w order by doc_id, s) > 1
+    ), gone as (select distinct doc_id, p from later, unnest(range(s, s + 20)) as u(p)), left_over as (
+        select d.doc_id, string_agg(d.words[i], ' ' order by i) as kept, count(*) as n_kept
+        from docs d, unnest(range(1, len(words) + 1)) as u(i) anti join gone on d.doc_id = gone.doc_id and i = gone.p group by d.doc_id
+    )
+    select doc_id, cast(len(words) as bigint) as n_words, len(words) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(kept, '')) as kept_sha256
+    from docs left join left_over using (doc_id)
+    """,
+)
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.without_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query("op8_quality_classifier")
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source is the host, the language a path below it."""
+    scored = quality_classifier.classify(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), F.col("source"), F.col("lang")
+    )
+    return scored.select(
+        "doc_id", "host", "path", *[F.round(c, 6).alias(c) for c in scored.columns if c.endswith(("_quality", "_toxic"))], "kept"
+    )
