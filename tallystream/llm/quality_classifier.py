@@ -31,7 +31,7 @@ SAMPLE = 8_000  # labelled rows a model is fitted on, at most
 WORD_SLOTS = 65_536
 TELLING = 4.5  # standard errors by which a word's share must differ between the labels
 DENSE = 6
-ROUNDS = 150
+ROUNDS = 300
 RATE, DECAY = 0.5, 1e-4
 STRENGTH = (1.0, 1e6)  # bounds of a prior's strength, in documents
 
