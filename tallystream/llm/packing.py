@@ -27,7 +27,7 @@ from tallystream.llm.words import as_bytes, slices
 
 LIMIT = 2048
 END = 1
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 
 def token_pieces(

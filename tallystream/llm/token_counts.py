@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from tallystream.llm.tokens import VOCABULARY, encoder
 from tallystream.llm.words import as_bytes, slices
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 BLOCK = 4_096
 
 

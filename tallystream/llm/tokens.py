@@ -15,7 +15,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED = 1_200_000
+CACHED = 900_000
 JOINED = 256
 
 # Letters that lower-casing and NFC leave single letters.
