@@ -10,10 +10,9 @@ joined, so most documents never reach a table.
    counts once from here on.
 2. In each table every class is paired with the smallest one. Pairs whose hashes agree in too
    few places are left out; the rest are confirmed on full sets, and components follow.
-3. What a table still holds of different components is compared in blocks, without being
-   emitted: only pairs of different components that agree in enough hashes come out, each from
-   the first table it shares, and are confirmed on full sets. Components are then final. So no
-   candidate link is lost, and a group that hangs together is never paired in full.
+3. What tables still hold of different components is compared in blocks, with full sets and
+   without being emitted: only links between different components come out. Components are
+   then final. So no candidate link is lost, and no group is emitted as pairs.
 
 Words: after lower-casing A-Z, runs of anything but ASCII white space; shingles of five words,
 or the whole sequence if there are fewer. Links: 100 * intersection >= 85 * union.
@@ -45,7 +44,7 @@ BAND_SIZE = 3
 HASHES = 2 * BANDS * BAND_SIZE
 PERCENT = 85
 AGREEING = 40  # of 60 hashes; at similarity 0.85 fewer agree once in some 10,000 pairs
-BLOCK_ROWS = 1_024
+BLOCK_ROWS = 512
 BROADCAST_ROWS = 200_000  # 16-byte keys, some 5 MB
 
 _SEEDS = np.random.default_rng(1).integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -139,7 +138,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(x).view(np.int64) for x in as_bytes(batch.column(1))]
+            sets = [np.sort(shingle_set(x).view(np.int64)) for x in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     texts = docs.select(F.col(doc_id).alias("rep"), F.xxhash64(F.col(text)).alias("rep_hash"), F.col(text).alias("text"))
@@ -180,55 +179,73 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return cut_lineage(sized.select("u", "v", "p", "q").mapInArrow(agreeing, "u binary, v binary"))
 
 
-def _left_over(tables: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
-    """(u, v) of different components that meet in a table and agree in enough hashes.
+def _left_over(tables: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Links (u, v) of different components among the classes that still meet in some table.
 
-    A table's key with many rows is cut into blocks of about ``BLOCK_ROWS``, and every two
-    blocks are compared in some task; each pair comes out of the first table it shares.
+    These classes are grouped by the bands of the first collection, with their full sets. A
+    large group is cut into blocks of about ``BLOCK_ROWS``, and every two blocks are compared
+    in some task: a pair is looked at under the first band it shares, must share one of the
+    second collection too, and is confirmed at once. Components met are merged on the way, so
+    a block emits fewer links than it has rows.
     """
-    named = tables.join(labels, "node", "left").select("key", "p", "q", "node", F.coalesce("component", "node").alias("component"))
-    mixed = (
-        named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("a") != F.col("b")).select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
-    )
-    rows = named.join(mixed, "key").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.join(classes.select("node", "n_shingles", "bands", "marks"), "node").select(
-        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-        "own", "p", "q", "node", "component", "n_shingles", "bands", "marks",
+    named = tables.join(labels, "node", "left").select("key", "p", "node", F.coalesce("component", "node").alias("component"))
+    mixed = named.groupBy("key").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter(F.col("a") != F.col("b")).select("key")
+    open_ = named.join(mixed, "key").select("p", "node", "component").distinct()
+    rows = cut_lineage(
+        open_.join(classes.select("node", "n_shingles", "bands", "marks"), "node").withColumn("h", F.element_at("bands", F.col("p") + 1))
+    )
+    nodes = cut_lineage(rows.select("node").distinct().join(classes.select("node", "rep", "rep_hash"), "node"))
+    sets = cut_lineage(_sets(docs, nodes, doc_id, text))
+    blocks = rows.groupBy("p", "h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("p", "h", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    rows = rows.join(blocks, ["p", "h"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rows = rows.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "h", "p", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+        "own", "n_shingles", "node", "component", "bands", "marks", "shingles",
     )
-    dealt = rows.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    dealt = rows.repartition("h", "p", "x", "y").sortWithinPartitions("h", "p", "x", "y")
 
     def arrays(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         def binary(i: int, kind, width: int) -> np.ndarray:
             return np.frombuffer(b"".join(batch.column(i).to_pylist()), kind).reshape(-1, width)
 
-        plain = {k: batch.column(i).to_numpy() for i, k in enumerate(("key", "x", "y", "own", "p", "q"))}
-        bands = batch.column(9).flatten().to_numpy().reshape(-1, 2 * BANDS)
-        return plain | {
+        sets = np.empty(batch.num_rows, object)
+        for i in range(batch.num_rows):
+            sets[i] = batch.column(10)[i].values.to_numpy()
+        return {k: batch.column(i).to_numpy() for i, k in enumerate(("h", "p", "x", "y", "own", "size"))} | {
             "node": binary(6, "V16", 1)[:, 0],
             "component": binary(7, np.uint64, 2),
-            "size": batch.column(8).to_numpy(),
-            "bands": bands,
-            "marks": binary(10, np.uint8, HASHES),
+            "bands": batch.column(8).flatten().to_numpy().reshape(-1, 2 * BANDS),
+            "marks": binary(9, np.uint8, HASHES),
+            "sets": sets,
         }
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in runs(batches, arrays, ["key", "x", "y"]):
-            x, y, p, q = (block[k][0] for k in ("x", "y", "p", "q"))
+        for block in runs(batches, arrays, ["h", "p", "x", "y"]):
+            label = np.unique(block["component"], axis=0, return_inverse=True)[1].ravel()
+            x, y, p = (block[k][0] for k in ("x", "y", "p"))
+            size, marks, bands, sets = (block[k] for k in ("size", "marks", "bands", "sets"))
             right = np.flatnonzero(block["own"] == y)
             u, v = [], []
             for i in np.flatnonzero(block["own"] == x).tolist():
                 j = right[right > i] if x == y else right
-                j = j[(block["component"][j] != block["component"][i]).any(axis=1)]
-                sizes = block["size"][j]
-                j = j[100 * np.minimum(sizes, block["size"][i]) >= PERCENT * np.maximum(sizes, block["size"][i])]
-                j = j[(block["marks"][j] == block["marks"][i]).sum(axis=1) >= AGREEING]
-                if len(j):
-                    same = block["bands"][j] == block["bands"][i]
-                    first = (same[:, :BANDS].argmax(axis=1) == p) & (same[:, BANDS:].argmax(axis=1) + BANDS == q)
-                    u += [block["node"][i].tobytes()] * int(first.sum())
-                    v += [block["node"][k].tobytes() for k in j[first]]
+                j = j[label[j] != label[i]]
+                j = j[100 * np.minimum(size[j], size[i]) >= PERCENT * np.maximum(size[j], size[i])]
+                j = j[(marks[j] == marks[i]).sum(axis=1) >= AGREEING]
+                if not len(j):
+                    continue
+                same = bands[j] == bands[i]
+                j = j[(same[:, :BANDS].argmax(axis=1) == p) & same[:, BANDS:].any(axis=1)]
+                if not len(j):
+                    continue
+                joined = np.concatenate([sets[k] for k in j])
+                at = np.minimum(np.searchsorted(sets[i], joined), size[i] - 1)
+                starts = np.cumsum(size[j]) - size[j]
+                common = np.add.reduceat((sets[i][at] == joined).astype(np.int64), starts)
+                for k in j[100 * common >= PERCENT * (size[i] + size[j] - common)].tolist():
+                    if label[k] != label[i]:
+                        label[label == label[k]] = label[i]
+                        u.append(block["node"][i].tobytes())
+                        v.append(block["node"][k].tobytes())
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
@@ -248,7 +265,7 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     stars = tables.filter(F.col("node") != F.col("pivot")).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
     edges = cut_lineage(_confirmed(_plausible(stars, classes), classes, docs, doc_id, text))
     labels = cut_lineage(component_labels(edges))
-    more = cut_lineage(_confirmed(_left_over(tables, labels, classes), classes, docs, doc_id, text))
+    more = _left_over(tables, labels, classes, docs, doc_id, text)
     spine = labels.filter(F.col("node") != F.col("component")).select(F.col("node").alias("u"), F.col("component").alias("v"))
     labels = component_labels(spine.unionByName(more))
 
