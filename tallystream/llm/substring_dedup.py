@@ -28,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tallystream.llm.words import as_bytes, slices, window_hashes, word_hashes, word_numbers
@@ -84,6 +86,10 @@ def _ranges(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+def codes_of(minimisers: np.ndarray) -> np.ndarray:
+    return (minimisers >> np.uint64(32)).astype(np.uint32).view(np.int32) ^ minimisers.astype(np.uint32).view(np.int32)
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(int(NO_ID))).alias("doc"),
@@ -101,15 +107,22 @@ def _sizes(index: int):
 
 
 def repeated_minimisers(keyed: DataFrame) -> DataFrame:
-    """row, minimisers: those of a row's windows that are met more than once in all texts."""
+    """row, codes: of those of a row's minimisers that are met more than once in all texts.
+
+    A code is half of the hash. Within a bin codes differ as hashes do but for one in billions;
+    a wrong match only lets a super-k-mer travel in vain.
+    """
     bins = BINS_A_PARTITION * int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = "bin int, rows array<long>, minimisers array<long>"
+    schema = "bin int, settled boolean, rows array<long>, codes array<int>"
 
-    def packed(bin_: list, rows: list, values: list) -> pa.RecordBatch:
-        longs = pa.list_(pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(bin_, pa.int32()), pa.array(rows, longs), pa.array(values, longs)], ["bin", "rows", "minimisers"]
-        )
+    def packed(bin_: list, settled: bool, rows: list, codes: list) -> pa.RecordBatch:
+        columns = [
+            pa.array(bin_, pa.int32()),
+            pa.array([settled] * len(bin_), pa.bool_()),
+            pa.array(rows, pa.list_(pa.int64())),
+            pa.array(codes, pa.list_(pa.int32())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["bin", "settled", "rows", "codes"])
 
     def by_row(rows: np.ndarray, values: np.ndarray) -> tuple[list, list]:
         order = np.argsort(rows, kind="stable")
@@ -141,9 +154,9 @@ def repeated_minimisers(keyed: DataFrame) -> DataFrame:
             group = np.cumsum(opens) - 1
             settled = np.bincount(group, weights=1 + again) > 1  # met twice here already
             local = settled[group]
-            heads, own = by_row(row[local], value[local].view(np.int64))
+            heads, own = by_row(row[local], codes_of(value[local]))
             if heads:
-                yield packed([-1] * len(heads), heads, own)
+                yield packed([int(h[0]) % bins for h in heads], True, heads, own)
             # A settled one goes out twice, for no row, so that others learn that it repeats.
             once = ~local
             told = value[opens][settled]
@@ -152,44 +165,46 @@ def repeated_minimisers(keyed: DataFrame) -> DataFrame:
             to = (value % np.uint64(bins)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             cuts = np.flatnonzero(np.diff(to[order])) + 1
-            names = to[order][np.concatenate([[0], cuts])] if len(to) else []
-            yield packed(names, np.split(row[order], cuts), np.split(value[order].view(np.int64), cuts)) if len(to) else packed([], [], [])
+            names = to[order][np.concatenate([[0], cuts])]
+            yield packed(names, False, np.split(row[order], cuts), np.split(codes_of(value[order]), cuts))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, name = [], None
 
         def done() -> pa.RecordBatch:
-            rows, values = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(values, kind="stable")
-            rows, values = rows[order], values[order]
-            opens = np.concatenate([[True], values[1:] != values[:-1]])
+            rows, codes = (np.concatenate(x) for x in zip(*held))
+            order = np.argsort(codes, kind="stable")
+            rows, codes = rows[order], codes[order]
+            opens = np.concatenate([[True], codes[1:] != codes[:-1]])
             group = np.cumsum(opens) - 1
             many = (np.bincount(group) > 1)[group] & (rows != 0)
-            heads, own = by_row(rows[many], values[many])
-            return packed([-1] * len(heads), heads, own)
+            heads, own = by_row(rows[many], codes[many])
+            return packed([name] * len(heads), True, heads, own)
 
         for batch in batches:
-            for i, own in enumerate(batch.column(0).to_pylist()):
+            yield batch.filter(batch.column(1))
+            rest = batch.filter(pa.compute.invert(batch.column(1)))
+            for i, own in enumerate(rest.column(0).to_pylist()):
                 if held and own != name:
                     yield done()
                     held = []
                 name = own
-                held.append(tuple(batch.column(k)[i].values.to_numpy(zero_copy_only=False) for k in (1, 2)))
+                held.append(tuple(rest.column(k)[i].values.to_numpy() for k in (2, 3)))
         if held:
             yield done()
 
-    sent = cut_lineage(keyed.select("row", "text").mapInArrow(send, schema))
-    met = sent.filter("bin >= 0").repartition("bin").sortWithinPartitions("bin").mapInArrow(meet, schema)
-    found = sent.filter("bin < 0").unionByName(met).select(F.col("rows")[0].alias("row"), "minimisers")
-    return found.groupBy("row").agg(F.flatten(F.collect_list("minimisers")).alias("minimisers"))
+    sent = keyed.select("row", "text").mapInArrow(send, schema)
+    met = sent.repartition("bin").sortWithinPartitions("bin").mapInArrow(meet, schema)
+    found = met.select(F.col("rows")[0].alias("row"), "codes")
+    return found.groupBy("row").agg(F.flatten(F.collect_list("codes")).alias("codes"))
 
 
 _PARTS = (
-    "kind int, doc long, no_id boolean, row long, text string, n_words long, digest string, bucket long, start long, packed binary,"
+    "kind int, doc long, no_id boolean, row long, text binary, n_words long, digest string, bucket long, start long, packed binary,"
     " first long, stop long"
 )
 _ARROW = {
-    "kind": pa.int32(), "doc": pa.int64(), "no_id": pa.bool_(), "row": pa.int64(), "text": pa.string(), "n_words": pa.int64(),
+    "kind": pa.int32(), "doc": pa.int64(), "no_id": pa.bool_(), "row": pa.int64(), "text": pa.binary(), "n_words": pa.int64(),
     "digest": pa.string(), "bucket": pa.int64(), "start": pa.int64(), "packed": pa.binary(), "first": pa.int64(), "stop": pa.int64(),
 }
 UNTOUCHED, TEXT, STRING, MARK = range(4)
@@ -207,21 +222,32 @@ def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts cross the network twice; compressed here, they do so in half the bytes."""
+    press = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = [press.compress(x or b"") for x in as_bytes(batch.column(3))]
+        size = [len(x or b"") for x in as_bytes(batch.column(3))]
+        columns = [*[batch.column(i) for i in range(3)], pa.array(texts, pa.binary()), pa.array(size, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc", "no_id", "row", "text", "size"])
+
+
 def _split_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (doc, no_id, row, text, minimisers): finished rows, texts to come back to, super-k-mers,
-    and marks of windows that repeat within this slice."""
-    for batch, a, b in slices(batches, _sizes(3), SLICE_BYTES):
+    """From (doc, no_id, row, text, size, codes): finished rows, texts to come back to,
+    super-k-mers, and marks of windows that repeat within this slice."""
+    unpress = zstandard.ZstdDecompressor()
+    for batch, a, b in slices(batches, lambda x: x.column(4).to_pylist(), SLICE_BYTES):
         part = batch.slice(a, b - a)
         doc, no_id, row = (part.column(i).to_pylist() for i in range(3))
-        texts = as_bytes(part.column(3))
+        texts = map(unpress.decompress, part.column(3).to_pylist())
         done: dict[str, list] = {k: [] for k in ("doc", "no_id", "row", "n_words", "digest")}
         kept: list[int] = []
         words, at, owner, start, bucket = [], [], [], [], []
         for i, data in enumerate(texts):
-            own = (data or b"").split()
-            flagged = part.column(4)[i].values
+            own = data.split()
+            flagged = part.column(5)[i].values
             least = window_minimisers(own)[0] if flagged is not None and len(own) >= WINDOW else np.empty(0, np.uint64)
-            mine = np.flatnonzero(np.isin(least.view(np.int64), flagged.to_numpy(zero_copy_only=False))) if len(least) else least
+            mine = np.flatnonzero(np.isin(codes_of(least), flagged.to_numpy())) if len(least) else least
             if not len(mine):
                 for k, v in zip(done, (doc[i], no_id[i], row[i], len(own), _digest(own))):
                     done[k].append(v)
@@ -301,10 +327,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc, no_id, n_words, n_removed, kept_sha256 and kept_text from texts and their marks."""
+    unpress = zstandard.ZstdDecompressor()
     for batch in batches:
         n_words, n_removed, digest, kept_text = [], [], [], []
-        for data, marks in zip(as_bytes(batch.column(2)), batch.column(3).to_pylist()):
-            words = data.split()
+        for data, marks in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            words = unpress.decompress(data).split()
             gone = np.zeros(len(words) + 1, np.int64)
             for m in marks or ():
                 gone[m["first"]] += 1
@@ -327,7 +354,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     by one space; null where none was removed)."""
     keyed = _keyed(docs, doc_id, text)
     flagged = repeated_minimisers(keyed)
-    joined = keyed.join(flagged, "row", "left").select("doc", "no_id", "row", "text", "minimisers")
+    pressed = keyed.mapInArrow(_compressed, "doc long, no_id boolean, row long, text binary, size long")
+    joined = pressed.join(flagged, "row", "left").select("doc", "no_id", "row", "text", "size", "codes")
     parts = cut_lineage(joined.mapInArrow(_split_up, _PARTS))
     strings = parts.filter(F.col("kind") == STRING).select("bucket", "doc", "row", "start", "packed")
     counted = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count, _PARTS)
