@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-CACHED_WORDS = 1_000_000  # a worker's memory of word hashes; beyond it, it starts anew
+CACHED_WORDS = 600_000  # a worker's memory of word hashes; beyond it, it starts anew
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
