@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallystream.llm.words import as_bytes, slices
 
 WINDOW = 10
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 BLOCK_BYTES = 8_000_000
 _TABLE_BITS = 22
 _TABLE = bytes(
@@ -194,11 +194,7 @@ def contamination(
     def searched(block, counted: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             suffixes = block.value
-
-            def sizes(batch):
-                return [len(x or b"") for x in as_bytes(batch.column(2))]
-
-            for batch, start, stop in slices(batches, sizes, SHARD_BYTES):
+            for batch, start, stop in slices(batches, 2, SHARD_BYTES):
                 part = batch.slice(start, stop - start)
                 counts, hits = suffixes.hits(as_bytes(part.column(2)))
                 empty = ([], [], [])
@@ -240,11 +236,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
     def without(rows: DataFrame, block) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             suffixes = block.value
-
-            def sizes(batch):
-                return [len(x or b"") for x in as_bytes(batch.column(at))]
-
-            for batch, start, stop in slices(batches, sizes, SHARD_BYTES):
+            for batch, start, stop in slices(batches, at, SHARD_BYTES):
                 part = batch.slice(start, stop - start)
                 hit = np.bincount(suffixes.search(as_bytes(part.column(at)))[1], minlength=part.num_rows)
                 yield part.filter(pa.array(hit == 0))

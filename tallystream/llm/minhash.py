@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallystream.llm.components import component_labels
 from tallystream.llm.runs import runs
-from tallystream.llm.words import as_bytes, mix, window_hashes, word_hashes
+from tallystream.llm.words import SLICE_BYTES, as_bytes, mix, slices, window_hashes, word_hashes
 from tallystream.session import cut_lineage
 
 SHINGLE = 5
@@ -71,7 +71,8 @@ def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """doc_id, text_hash, n_shingles, node (a hash of the set), bands, marks (a byte a hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, a, b in slices(batches, 2, SLICE_BYTES):
+            batch = whole.slice(a, b - a)
             size, node, bands, marks = [], [], [], []
             for data in as_bytes(batch.column(2)):
                 shingles = shingle_set(data)
@@ -137,7 +138,8 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFram
     """node, shingles (sorted hashes) of the classes in ``nodes`` (node, rep, rep_hash)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, a, b in slices(batches, 1, SLICE_BYTES):
+            batch = whole.slice(a, b - a)
             sets = [np.sort(shingle_set(x).view(np.int64)) for x in as_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystream.llm.decontaminate import item_words
 from tallystream.llm.quality_rules import Measures
-from tallystream.llm.words import as_bytes, word_hashes
+from tallystream.llm.words import SLICE_BYTES, as_bytes, slices, word_hashes
 from tallystream.session import cut_lineage
 
 SAMPLE = 8_000  # labelled rows a model is fitted on, at most
@@ -126,7 +126,8 @@ def evidence(docs: DataFrame, models: dict[str, Classifier], host: Column, path:
     names = [f"p_{t}" for t in models]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, a, b in slices(batches, 3, SLICE_BYTES):
+            batch = whole.slice(a, b - a)
             out: list[list[float]] = [[] for _ in models]
             for data in as_bytes(batch.column(3)):
                 made = features(data)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallystream.llm.words import as_bytes, word_numbers
+from tallystream.llm.words import SLICE_BYTES, as_bytes, slices, word_numbers
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
@@ -135,7 +135,8 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text"
     ordered, at = sampled_order(docs, rules, text), docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, a, b in slices(batches, at, SLICE_BYTES):
+            batch = whole.slice(a, b - a)
             good = [first_rejecting(Measures(x), ordered) is None for x in as_bytes(batch.column(at))]
             yield batch.filter(pa.array(good, pa.bool_()))
 
@@ -149,7 +150,8 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "doc_id"
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for whole, a, b in slices(batches, 1, SLICE_BYTES):
+            batch = whole.slice(a, b - a)
             columns: dict[str, list] = {k: [] for k in (*names, "base_failed", "kept", "rejected_by")}
             for data in as_bytes(batch.column(1)):
                 m = Measures(data)

@@ -99,13 +99,6 @@ def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def _sizes(index: int):
-    def sizes(batch: pa.RecordBatch) -> list[int]:
-        return [len(x or b"") for x in as_bytes(batch.column(index))]
-
-    return sizes
-
-
 def repeated_minimisers(keyed: DataFrame) -> DataFrame:
     """row, codes: of those of a row's minimisers that are met more than once in all texts.
 
@@ -132,7 +125,7 @@ def repeated_minimisers(keyed: DataFrame) -> DataFrame:
         return [[int(r)] for r in heads], np.split(values, cuts) if len(rows) else []
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, a, b in slices(batches, _sizes(1), SLICE_BYTES):
+        for batch, a, b in slices(batches, 1, SLICE_BYTES):
             part = batch.slice(a, b - a)
             values, rows, twice = [], [], []
             for row, data in zip(part.column(0).to_pylist(), as_bytes(part.column(1))):
@@ -225,9 +218,10 @@ def _digest(words: list[bytes]) -> str:
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts cross the network twice; compressed here, they do so in half the bytes."""
     press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        texts = [press.compress(x or b"") for x in as_bytes(batch.column(3))]
-        size = [len(x or b"") for x in as_bytes(batch.column(3))]
+    for whole, a, b in slices(batches, 3, SLICE_BYTES):
+        batch = whole.slice(a, b - a)
+        own = as_bytes(batch.column(3))
+        texts, size = [press.compress(x or b"") for x in own], [len(x or b"") for x in own]
         columns = [*[batch.column(i) for i in range(3)], pa.array(texts, pa.binary()), pa.array(size, pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["doc", "no_id", "row", "text", "size"])
 
@@ -236,7 +230,7 @@ def _split_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From (doc, no_id, row, text, size, codes): finished rows, texts to come back to,
     super-k-mers, and marks of windows that repeat within this slice."""
     unpress = zstandard.ZstdDecompressor()
-    for batch, a, b in slices(batches, lambda x: x.column(4).to_pylist(), SLICE_BYTES):
+    for batch, a, b in slices(batches, 4, SLICE_BYTES):
         part = batch.slice(a, b - a)
         doc, no_id, row = (part.column(i).to_pylist() for i in range(3))
         texts = map(unpress.decompress, part.column(3).to_pylist())

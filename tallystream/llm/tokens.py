@@ -15,7 +15,8 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-CACHED = 900_000
+CACHED = 350_000
+LASTING = 220_000  # the first words met, mostly the frequent ones, stay
 JOINED = 256
 
 # Letters that lower-casing and NFC leave single letters.
@@ -30,12 +31,13 @@ class WordEncoder:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.start, self.length, self.flat = array("q"), array("q"), array("i")
 
+    def _forget(self) -> None:
+        self.known = {word: i for word, i in self.known.items() if i < LASTING}
+        del self.flat[self.start[LASTING] :], self.start[LASTING:], self.length[LASTING:]
+
     def _add(self, word: bytes, ids) -> None:
         self.known[word] = len(self.start)
         self.start.append(len(self.flat))

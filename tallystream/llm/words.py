@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
-CACHED_WORDS = 600_000  # a worker's memory of word hashes; beyond it, it starts anew
+CACHED_WORDS = 250_000
+SLICE_BYTES = 2_000_000  # a worker's memory of word hashes; beyond it, it starts anew
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
@@ -30,10 +32,12 @@ def as_bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-def slices(batches, size_of, limit: int):
-    """(batch, start, stop) over Arrow batches so that each slice has about ``limit`` bytes at most."""
+def slices(batches, sized: int, limit: int):
+    """(batch, start, stop) over Arrow batches so that each slice has about ``limit`` bytes of
+    column ``sized`` (texts, or a column of numbers that says their sizes)."""
     for batch in batches:
-        sizes = size_of(batch)
+        column = batch.column(sized)
+        sizes = pc.fill_null(column if pa.types.is_integer(column.type) else pc.binary_length(column), 0).to_pylist()
         start, held = 0, 0
         for i, size in enumerate(sizes):
             if held and held + size > limit:
