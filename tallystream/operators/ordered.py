@@ -2,7 +2,7 @@
 
 Every function works per key in a given total order. While all keys are small the plan is
 an ordinary window over the key. Once some key holds more than ``hot_rows`` rows, the rows
-are cut along the order into slices (approximate quantiles of the first order column), the
+are cut along the order into slices (ranges of the whole order, stored with the rows), the
 window runs inside (key, slice), and one small row per (key, slice) carries what the next
 slice needs: a count, a sum, or the last row.
 """
@@ -12,13 +12,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallystream.operators.sizing import null_safe_join
+from tallystream.session import cut_lineage
 
 HOT_ROWS = 4_000_000
-MAX_SLICES = 20_000
 SLICE = "__slice"
 
 
@@ -26,20 +25,6 @@ def _as_list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
-def _order_as_double(df: DataFrame, name: str) -> Column:
-    """Monotone double image of an order column; equal images only blur slice borders."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        name = F.col(name).cast("timestamp")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_seconds(name).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    raise ValueError(f"the first order column must be a number or a time, not {kind.simpleString()}")
-
-
 def slice_by_order(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -47,35 +32,27 @@ def slice_by_order(
     hot_rows: int = HOT_ROWS,
     min_slices: int = 1,
 ) -> tuple[DataFrame, bool]:
-    """Add the slice column; the flag tells whether more than one slice is in use."""
+    """Add the slice column; the flag tells whether more than one slice is in use.
+
+    Slices are ranges of the whole order, of any types, nulls and ties included (equal rows
+    share one). They are stored with the rows, so a lost executor cannot change them, and
+    what comes before is not run again.
+    """
     keys, order = _as_list(keys), _as_list(order)
     sizes = df.groupBy(*keys).count() if keys else df.agg(F.count("*").alias("count"))
     largest, total = sizes.agg(F.max("count"), F.sum("count")).first()
     if not total or (largest <= hot_rows and min_slices <= 1):
         return df.withColumn(SLICE, F.lit(0)), False
-    wanted = min(MAX_SLICES, max(min_slices, math.ceil(total / hot_rows)))
-    position = _order_as_double(df, order[0])
-    fractions = [i / wanted for i in range(1, wanted)]
-    if not fractions:
-        return df.withColumn(SLICE, F.lit(0)), False
-    cuts = df.agg(F.percentile_approx(position, fractions, max(10_000, 4 * wanted))).first()[0] or []
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    sliced = Bucketizer(
-        splits=splits, inputCol="__position", outputCol="__bucket", handleInvalid="keep"
-    ).transform(df.withColumn("__position", position))
-    return (
-        sliced.withColumn(SLICE, F.col("__bucket").cast("int")).drop("__position", "__bucket"),
-        True,
-    )
+    wanted = max(min_slices, math.ceil(total / hot_rows))
+    dealt = df.repartitionByRange(wanted, *order).withColumn(SLICE, F.spark_partition_id())
+    return cut_lineage(dealt), True
 
 
 def _carry_sum(df: DataFrame, keys: list[str], amount: Column) -> DataFrame:
-    """Per (key, slice): the total of ``amount`` over the key's earlier slices."""
+    """Per (key, slice): the total of ``amount`` over the key's earlier slices, null if there is none."""
     totals = df.groupBy(*keys, SLICE).agg(F.sum(amount).alias("__amount"))
     before = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select(
-        *keys, SLICE, F.coalesce(F.sum("__amount").over(before), F.lit(0)).alias("__carry")
-    )
+    return totals.select(*keys, SLICE, F.sum("__amount").over(before).alias("__carry"))
 
 
 def number_rows(
@@ -96,7 +73,7 @@ def number_rows(
     offsets = _carry_sum(sliced, keys, F.lit(1))
     return (
         null_safe_join(sliced, offsets, [*keys, SLICE])
-        .withColumn(name, F.col("__carry") + F.row_number().over(inside) - 1)
+        .withColumn(name, F.coalesce("__carry", F.lit(0)) + F.row_number().over(inside) - 1)
         .drop("__carry", SLICE)
     )
 
@@ -133,7 +110,8 @@ def running_in_slices(
         return sliced.withColumn(name, F.sum(amount).over(so_far))
     return (
         null_safe_join(sliced, _carry_sum(sliced, keys, amount), [*keys, SLICE])
-        .withColumn(name, F.col("__carry") + F.sum(amount).over(so_far))
+        .withColumn(name, F.sum(amount).over(so_far))
+        .withColumn(name, F.coalesce(F.col("__carry") + F.col(name), F.col(name), F.col("__carry")))
         .drop("__carry")
     )
 

@@ -37,9 +37,11 @@ def with_slice(df: DataFrame, edge: float, n: int, axis: str = "y") -> DataFrame
 
 
 def halo(df: DataFrame, n: int, edge: float, reach: float, axis: str = "y") -> DataFrame:
-    """Each slice with its own rows and the rows of all slices within ``reach``."""
+    """Each slice with its own rows and the rows of all slices within ``reach``.
+
+    Rows beyond the box belong to the slice at that end."""
     steps = int(-(-reach // (edge / n)))
-    home = slice_of(axis, edge, n)
+    home = F.least(F.greatest(slice_of(axis, edge, n), F.lit(0)), F.lit(n - 1))
     wanted = F.sequence(F.greatest(home - steps, F.lit(0)), F.least(home + steps, F.lit(n - 1)))
     return (
         df.withColumn("home_slice", home)

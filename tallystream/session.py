@@ -30,13 +30,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int | None = Non
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
-    Only where the setting is missing (a local run) one temporary folder per application
-    is made.
+    Where the setting is missing, a local run gets one temporary folder per application; on a
+    cluster, whose machines do not share one, it is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.sparkContext.applicationId
         if app not in _LOCAL_DIRS:
             _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="tallystream-")

@@ -78,11 +78,11 @@ def decode_csv(
 ) -> tuple[DataFrame, DataFrame]:
     """(good, quarantined): positional fields as columns, and the records with too few.
 
-    Extra fields are ignored. ``types`` names Spark types; 'boolean' follows ``parse_bool``,
+    Extra fields are ignored, and empty ones at the end do not count. ``types`` names Spark types; 'boolean' follows ``parse_bool``,
     and a text that is not of its type becomes null.
     """
     types = types or ["string"] * len(names)
-    enough = F.size(F.split(F.col(column), ",", -1)) >= len(names)
+    enough = F.size(F.split(F.regexp_replace(column, ",+$", ""), ",", -1)) >= len(names)
     whole = F.coalesce(enough, F.lit(False))
     fields = []
     for raw, name, kind in zip(split_fields(column, names), names, types, strict=True):

