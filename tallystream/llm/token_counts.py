@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallystream.llm.tokens import VOCABULARY, encoder
 from tallystream.llm.words import as_bytes, slices
+from tallystream.session import cut_lineage
 
 SLICE_BYTES = 1_000_000
 BLOCK = 4_096
@@ -46,7 +47,7 @@ def with_suffix_sums(histogram: DataFrame) -> DataFrame:
     Sums run within blocks of 4,096 lengths; only one row a block goes through the one task
     that carries the sums of the later blocks over.
     """
-    rows = histogram.withColumn("block", F.floor(F.col("n_tokens") / BLOCK))
+    rows = cut_lineage(histogram.withColumn("block", F.floor(F.col("n_tokens") / BLOCK)))  # read twice, tokenized once
     sums = rows.groupBy("block").agg(
         F.sum("n_docs").alias("block_docs"), F.sum(F.col("n_docs") * F.col("n_tokens")).alias("block_tokens")
     )
