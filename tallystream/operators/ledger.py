@@ -18,6 +18,7 @@ from tallystream.operators.ordered import (
     SLICE,
     first_per_key,
     latest_per_key,
+    number_rows,
     previous_in_slices,
     running_in_slices,
     running_sum,
@@ -70,7 +71,11 @@ def user_state(log: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
 
 
 def course_state(log: DataFrame, order: Sequence[str] = ("seq",), payload: Sequence[str] = ()) -> DataFrame:
-    """Current course per id: the last CREATE, deleted if a DELETE came after it."""
+    """Current course per id: the last CREATE, deleted if a DELETE came after it.
+
+    ``born`` holds the order columns of that CREATE: what came before it belongs to an earlier
+    course of the same id.
+    """
     at = F.struct(*order)
     created, deleted = F.col("type") == "CREATE", F.col("type") == "DELETE"
     return (
@@ -84,6 +89,7 @@ def course_state(log: DataFrame, order: Sequence[str] = ("seq",), payload: Seque
             "course_id",
             *[F.col(f"made.{c}").alias(c) for c in payload],
             F.coalesce(F.col("gone") > F.col("made.at"), F.lit(False)).alias("is_deleted"),
+            F.col("made.at").alias("born"),
         )
     )
 
@@ -101,24 +107,56 @@ def incarnations(log: DataFrame, order: Sequence[str] = ("seq",), hot_rows: int
     return running_sum(log, "course_id", order, made, "incarnation", hot_rows)
 
 
+def of_current(events: DataFrame, courses: DataFrame, course: str = "course") -> DataFrame:
+    """Events that meet the live course as it is now: those after its last CREATE.
+
+    ``events`` have the columns of ``born``. A course table without ``born`` has one course
+    per id for all time.
+    """
+    open_courses = live(courses).select(F.col("course_id").alias("__course"), *[c for c in ("born",) if c in courses.columns])
+    met = F.col(course) == F.col("__course")
+    if "born" in courses.columns:
+        met = met & (F.struct(*courses.schema["born"].dataType.names) > F.col("born"))
+    return events.join(broadcast_if_small(open_courses), met, "left_semi")
+
+
+def by_incarnation(
+    events: DataFrame, log: DataFrame, order: Sequence[str], course: str = "course", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Events with ``incarnation``, the course object they met; events that met none are left out.
+
+    ``log`` has the CREATE and DELETE events (``course``, ``type`` and the ``order`` columns).
+    Each of them ends what was before, and a CREATE begins a new, empty course, so the running
+    count of both is the number of the object.
+    """
+    turns = log.filter(F.col("type").isin("CREATE", "DELETE")).select(course, "type", *order)
+    numbered = number_rows(turns, course, order, "__turn", hot_rows)
+    created = numbered.filter(F.col("type") == "CREATE").select(course, (F.col("__turn") + 1).alias("incarnation"))
+    marked = events.withColumn("__turn", F.lit(0)).unionByName(
+        turns.select(course, *order, F.lit(1).alias("__turn")), allowMissingColumns=True
+    )
+    counted = running_sum(marked, course, order, F.col("__turn"), "incarnation", hot_rows)
+    return counted.filter(F.col("__turn") == 0).drop("__turn").join(created, [course, "incarnation"], "left_semi")
+
+
 # -- enrolments, projects, cells ------------------------------------------------------
 
 
 def enrolments(log: DataFrame, users: DataFrame, courses: DataFrame) -> DataFrame:
-    """(student, course, since): ENROLL events of students to live courses, first one counts."""
-    wanted = log.groupBy(F.col("user_id").alias("student"), F.col("course_id").alias("course")).agg(
+    """(student, course, since): ENROLL events of students to live courses, first one counts.
+
+    A course made anew has none of the students of the one before.
+    """
+    wanted = of_current(log, courses, "course_id").groupBy(F.col("user_id").alias("student"), F.col("course_id").alias("course")).agg(
         F.min("seq").alias("since")
     )
     students = users.filter(F.col("role") == "STUDENT").select(F.col("user_id").alias("student"))
-    open_courses = broadcast_if_small(live(courses).select(F.col("course_id").alias("course")))
-    return wanted.join(students, "student", "left_semi").join(open_courses, "course", "left_semi")
+    return wanted.join(students, "student", "left_semi")
 
 
 def projects(log: DataFrame, courses: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
-    """First definition of each project of an existing course."""
-    first = first_per_key(log, ["course", "project"], order)
-    known = live(courses).select(F.col("course_id").alias("course"))
-    return first.join(known, "course", "left_semi")
+    """First definition of each project of an existing course, as that course is now."""
+    return first_per_key(of_current(log, courses), ["course", "project"], order)
 
 
 def grade_cells(enrolled: DataFrame, project_table: DataFrame) -> DataFrame:
@@ -217,9 +255,20 @@ def completions(
 ) -> DataFrame:
     """(student, course, done_at): the first accepted rating after which the student has passed
     every project the course had by then. Later projects or submissions do not revoke it.
+    With ``incarnation`` among the columns of both tables, passes and projects count within
+    one incarnation, and the completion stays with the course id.
 
     ``order`` must begin with ``seq``, the time that is compared with the projects' ``seq``.
     """
+    if "incarnation" in events.columns:
+        object_ = F.struct("course", "incarnation")
+        done = completions(
+            events.withColumn("course", object_).drop("incarnation"),
+            project_table.withColumn("course", object_).drop("incarnation"),
+            order,
+            hot_rows,
+        )
+        return done.groupBy("student", F.col("course.course").alias("course")).agg(F.min("done_at").alias("done_at"))
     history, many = _history(events, order, hot_rows)
     passed = lambda c: F.when(F.col(c) >= PASS_GRADE, 1).otherwise(0)
     counted = running_in_slices(
@@ -281,27 +330,24 @@ def course_status(enrolled: DataFrame, courses: DataFrame, done: DataFrame) -> D
 
 
 # -- collected forms ------------------------------------------------------------------
-# A list or map is the result itself. One of more than PAGE_ROWS entries comes out as
-# several rows, its pages, so that no value grows with the data; all others have page 0 only.
+# A list or map is the result itself. It comes out in pages, one row each: entry i of the sorted
+# list is on page i // page_rows, so that no value grows with the data.
 
 PAGE_ROWS = 100_000
 
 
 def paged(df: DataFrame, keys: Sequence[str], item: str, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """Add ``page``: the entries of large groups are spread evenly by a hash of ``item``."""
-    large = df.groupBy(*keys).count().filter(F.col("count") > page_rows)
-    pages = broadcast_if_small(
-        large.select(*keys, F.ceil(F.col("count") / page_rows).cast("int").alias("__pages"))
-    )
-    spread = F.pmod(F.xxhash64(item), F.coalesce("__pages", F.lit(1)))
-    return df.join(pages, list(keys), "left").withColumn("page", spread.cast("int")).drop("__pages")
+    """Add ``page``: the number of the row, in order of ``item`` within ``keys``, by ``page_rows``."""
+    numbered = number_rows(df, keys, item, "__rn")
+    return numbered.withColumn("page", F.floor(F.col("__rn") / page_rows).cast("int")).drop("__rn")
 
 
 def evaluation_map(votes: DataFrame, page_rows: int = PAGE_ROWS) -> DataFrame:
-    """(course, project, page, votes map<student, vote>)."""
-    entries = F.sort_array(F.collect_list(F.struct(F.col("student").cast("string").alias("k"), F.col("vote").alias("v"))))
+    """(course, project, page, votes map<student, vote>), students in the order of their text."""
+    entries = F.sort_array(F.collect_list(F.struct(F.col("student").alias("k"), F.col("vote").alias("v"))))
+    named = votes.withColumn("student", F.col("student").cast("string"))
     return (
-        paged(votes, ["course", "project"], "student", page_rows)
+        paged(named, ["course", "project"], "student", page_rows)
         .groupBy("course", "project", "page")
         .agg(F.map_from_entries(entries).alias("votes"))
     )

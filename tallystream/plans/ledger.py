@@ -182,7 +182,7 @@ OFFER_SQL = f"""offers as (select case l_linenumber when 1 then 'CREATE' when 2
 
 
 def _offer_courses(spark, d):
-    return lg.course_state(t.offer_log(spark, d), t.OFFER_ORDER, ["name", "admin_id"])
+    return lg.course_state(t.offer_log(spark, d), t.OFFER_ORDER, ["name", "admin_id"]).drop("born")
 
 
 @query("course_state", _sql(OFFER_SQL, "select * from ostate"))
@@ -345,38 +345,49 @@ def relational_division(spark, d):
     return lg.completed(votes, projects, enrolled)
 
 
+# Pages are small here, so that even small tables have several.
+PAGE_ROWS = 100
+PAGE_SQL = f"((row_number() over (partition by {{0}} order by {{1}}) - 1) // {PAGE_ROWS})::int as page"
+
+
 @query(
     "evaluation_map",
     _sql(
         VOTE_SQL.replace("{pick}", "max"),
-        """select course, project, 0 as page, string_agg(student || '=' || vote, ',' order by student::varchar) as votes
-        from votes group by 1, 2""",
+        f"""select course, project, page, string_agg(student || '=' || vote, ',' order by student::varchar) as votes
+        from (select *, {PAGE_SQL.format('course, project', 'student::varchar')} from votes) group by 1, 2, 3""",
     ),
 )
 def evaluation_map(spark, d):
     text = F.transform(F.map_entries("votes"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
-    return lg.evaluation_map(cut_lineage(_votes(spark, d))).select("course", "project", "page", F.array_join(text, ",").alias("votes"))
+    return lg.evaluation_map(cut_lineage(_votes(spark, d)), PAGE_ROWS).select("course", "project", "page", F.array_join(text, ",").alias("votes"))
 
 
 @query(
     "completed_map",
-    _sql(DONE_SQL, "select student, 0 as page, string_agg(course, ',' order by course) as courses from done group by 1"),
+    _sql(
+        DONE_SQL,
+        f"""select student, page, string_agg(course, ',' order by course) as courses
+        from (select *, {PAGE_SQL.format('student', 'course')} from done) group by 1, 2""",
+    ),
 )
 def completed_map(spark, d):
-    return lg.completed_map(cut_lineage(_completions(spark, d))).withColumn("courses", F.array_join("courses", ","))
+    return lg.completed_map(cut_lineage(_completions(spark, d)), PAGE_ROWS).withColumn("courses", F.array_join("courses", ","))
 
 
 @query(
     "course_rosters",
     _sql(
         BASE_SQL,
-        """select course, 0 as page, s as students, p as projects from
-        (select course, string_agg(student::varchar, ',' order by student) as s from enrol group by 1) full join
-        (select course, string_agg(project, ',' order by project) as p from proj group by 1) using (course)""",
+        f"""select course, page, s as students, p as projects from
+        (select course, page, string_agg(student::varchar, ',' order by student) as s
+          from (select *, {PAGE_SQL.format('course', 'student')} from enrol) group by 1, 2) full join
+        (select course, page, string_agg(project, ',' order by project) as p
+          from (select *, {PAGE_SQL.format('course', 'project')} from proj) group by 1, 2) using (course, page)""",
     ),
 )
 def course_rosters(spark, d):
-    out = lg.rosters(cut_lineage(_enrolments(spark, d)), _projects(spark, d))
+    out = lg.rosters(cut_lineage(_enrolments(spark, d)), _projects(spark, d), PAGE_ROWS)
     return out.select(
         "course",
         "page",
@@ -385,6 +396,105 @@ def course_rosters(spark, d):
     )
 
 
+# -- courses deleted and made anew ----------------------------------------------------
+# Every year each course is deleted and made again at its first order, and the one without a
+# priority is deleted for good at its last.
+
+LIFE_SQL = f"""students as (select c_custkey as student from customer where {ROLE_SQL.format('c_custkey')} = 'STUDENT'),
+ log as (select o_orderpriority as c, {DAY_SQL.format('o_orderdate')} as seq, year(o_orderdate) as y, o_custkey as student from orders),
+ life as (select c, 'DELETE' as type, min(seq) as seq, -2 as rank from log group by c, y
+   union all select c, 'CREATE', min(seq), -1 from log group by c, y
+   union all select c, 'DELETE', max(seq), 9 from log where contains(c, 'NOT') group by c),
+ lives as (select c, type, (seq, rank) as a, lead((seq, rank)) over w as b, row_number() over w as turn
+   from life window w as (partition by c order by seq, rank)),
+ open as (select c, a, b, c || '#' || turn as course from lives where type = 'CREATE' and {{which}}),
+ enrol as (select student, course, min(seq) as since from log join open using (c)
+   where (seq, 0) > a and (b is null or (seq, 0) < b) and student in (select student from students) group by 1, 2),
+ lines as (select l_returnflag as project, l_suppkey * 10 as prof_id, o_orderpriority as c, o_custkey as student,
+   {DAY_SQL.format('l_shipdate')} as seq, (l_linestatus = 'O')::int as rank, l_quantity::int as grade,
+   {DAY_SQL.format('l_shipdate')} + case l_returnflag when 'A' then 0 when 'N' then 400 else 800 end as made
+   from lineitem join orders on l_orderkey = o_orderkey),
+ proj as (select course, project, made as seq, prof_id from (select *, row_number() over (partition by course, project order by made, prof_id) r
+   from lines join open using (c) where (made, 0) > a and (b is null or (made, 0) < b)) where r = 1),
+ cells as (select student, course, project from enrol join proj using (course)),
+ work as (select case rank when 1 then 'SUBMIT' else 'RATE' end as type, w.student, course, w.project, w.seq, rank, grade
+   from lines w join open using (c) join enrol using (student, course) join proj p using (course, project)
+   where (w.seq, rank) > a and (b is null or (w.seq, rank) < b) and w.seq >= p.seq)"""
+NOW_SQL = LIFE_SQL.replace("{which}", "b is null")
+EVER_SQL = LIFE_SQL.replace("{which}", "true")
+LIFE_ORDER = ["seq", "rank"]
+
+
+def _ranked(log):
+    return log.withColumn("rank", F.lit(0))
+
+
+def _life_courses(spark, d):
+    return lg.course_state(t.course_life(spark, d), LIFE_ORDER)
+
+
+def _life_state(spark, d):
+    courses = cut_lineage(_life_courses(spark, d))
+    enrolled = lg.enrolments(_ranked(t.enrol_log(spark, d)), t.users(spark, d), courses)
+    return courses, enrolled, cut_lineage(lg.projects(_ranked(t.project_log(spark, d)), courses, t.PROJECT_ORDER))
+
+
+@query("reborn_enrolments", _sql(NOW_SQL, "select student, split_part(course, '#', 1) as course, since from enrol"))
+def reborn_enrolments(spark, d):
+    enrolled = lg.enrolments(_ranked(t.enrol_log(spark, d)), t.users(spark, d), _life_courses(spark, d))
+    return enrolled.select("student", "course", "since")
+
+
+@query("reborn_projects", _sql(NOW_SQL, "select split_part(course, '#', 1) as course, project, seq, prof_id from proj"))
+def reborn_projects(spark, d):
+    out = lg.projects(_ranked(t.project_log(spark, d)), _life_courses(spark, d), t.PROJECT_ORDER)
+    return out.select("course", "project", "seq", "prof_id")
+
+
+@query(
+    "reborn_grade_state",
+    _sql(
+        NOW_SQL + VOTE_SQL.removeprefix(BASE_SQL).replace("{pick}", "max"),
+        "select student, split_part(course, '#', 1) as course, project, vote from votes",
+    ),
+)
+def reborn_grade_state(spark, d):
+    courses, enrolled, projects = _life_state(spark, d)
+    known = projects.select("course", "project", F.col("seq").alias("open_from"))
+    events = lg.enrolled_only(lg.of_current(t.work_log(spark, d), courses), enrolled).join(known, ["course", "project"])
+    return lg.grade_state(events.filter(F.col("seq") >= F.col("open_from")), lg.grade_cells(enrolled, projects), t.WORK_ORDER)
+
+
+@query(
+    "reborn_completions",
+    _sql(
+        EVER_SQL + DONE_SQL.removeprefix(BASE_SQL),
+        "select student, split_part(course, '#', 1) as course, min(done_at) as done_at from done group by 1, 2",
+    ),
+)
+def reborn_completions(spark, d):
+    """Passes count within one incarnation; a completion outlives it."""
+    life = t.course_life(spark, d).withColumnRenamed("course_id", "course")
+
+    def tagged(log):
+        return lg.by_incarnation(log, life, LIFE_ORDER)
+
+    wanted = t.enrol_log(spark, d).select(F.col("user_id").alias("student"), F.col("course_id").alias("course"), "seq")
+    students = t.users(spark, d).filter("role = 'STUDENT'").select(F.col("user_id").alias("student"))
+    enrolled = tagged(_ranked(wanted.join(students, "student", "left_semi"))).select("student", "course", "incarnation").distinct()
+    first = first_per_key(tagged(_ranked(t.project_log(spark, d))), ["course", "incarnation", "project"], t.PROJECT_ORDER)
+    projects = cut_lineage(first.select("course", "incarnation", "project", "seq"))
+    known = projects.withColumnRenamed("seq", "open_from")
+    events = (
+        tagged(t.work_log(spark, d))
+        .join(enrolled, ["student", "course", "incarnation"], "left_semi")
+        .join(known, ["course", "incarnation", "project"])
+        .filter(F.col("seq") >= F.col("open_from"))
+        .drop("open_from")
+    )
+    return lg.completions(events, projects, RUN_ORDER)
+
+
 # -- read queries ---------------------------------------------------------------------
 
 STATUS_SQL = (

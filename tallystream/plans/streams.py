@@ -14,7 +14,7 @@ from tallystream.plans.ledger import OFFER_SQL, ROLE_SQL, ULOG_SQL
 from tallystream.plans.registry import query, six
 from tallystream.plans.sensors import CONFIG_SQL, N_SQL, _frames, config
 from tallystream.plans.trends import DAILY_SQL
-from tallystream.session import fresh_dir
+from tallystream.session import cut_lineage, fresh_dir
 from tallystream.sources import records as rec
 from tallystream.streaming import countwindow as scw
 from tallystream.streaming import events as sev
@@ -188,6 +188,7 @@ def stream_stream_wait(spark, d):
 
 def _staged_in_order(df: DataFrame, time: str, label: str, parts: int = 3) -> str:
     """A log written as consecutive time ranges, so that a file stream meets them in order."""
+    df = cut_lineage(df)
     folder = fresh_dir(df.sparkSession, label)
     cuts = df.agg(F.percentile_approx(time, [i / parts for i in range(1, parts)], 1000)).first()[0]
     lower = None
@@ -411,8 +412,10 @@ def json_batch_sink(spark, d):
 @query("console_or_table_sink", "select event_type as key, event_id as seq, value from events")
 def console_or_table_sink(spark, d):
     own = _session(spark)
-    name = fresh_dir(own, "shown").rsplit("/", 1)[1].replace("-", "_")
-    running = srun.to_table(_reading_stream(own, d).select("key", "seq", "value"), name)
+    path = fresh_dir(own, "shown")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    rows = _reading_stream(own, d).select("key", "seq", "value")
+    running = srun.to_table(rows, name, path, fresh_dir(own, "shown-checkpoint"))
     running.processAllAvailable()
     running.stop()
     return own.table(name)
@@ -484,6 +487,11 @@ def late_row_report(spark, d):
         events.coalesce(1).write.mode("append").parquet(folder)
     stream = _zoned(own.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder))
     once = sev.stream_dedup(stream, ["event_id"], "ts", "1 day")
-    done = srun.run_stream(once, fresh_dir(own, "late-out"), fresh_dir(own, "late-checkpoint"))
+    late = srun.LateRows()
+    own.streams.addListener(late)
+    try:
+        dropped = late.of(srun.run_stream(once, fresh_dir(own, "late-out"), fresh_dir(own, "late-checkpoint")))
+    finally:
+        own.streams.removeListener(late)
     sent = own.read.parquet(folder).agg(F.count("*").alias("sent"))
-    return sent.select(F.lit(srun.late_rows(done)).cast("bigint").alias("dropped"), "sent")
+    return sent.select(F.lit(dropped).cast("bigint").alias("dropped"), "sent")

@@ -113,6 +113,18 @@ def campus_courses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def course_life(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CREATE and DELETE events: every course is made anew each year, one ends with its last order."""
+    log = table(spark, sf_dir, "orders").select(
+        F.col("o_orderpriority").alias("course_id"), _day("o_orderdate").alias("seq"), F.year("o_orderdate").alias("year")
+    )
+    years = log.groupBy("course_id", "year").agg(F.min("seq").alias("seq"), F.max("seq").alias("last"))
+    turns = F.array(F.struct(F.lit("DELETE").alias("type"), F.lit(-2).alias("rank")), F.struct(F.lit("CREATE").alias("type"), F.lit(-1).alias("rank")))
+    anew = years.select("course_id", "seq", F.inline(turns))
+    ended = years.filter(F.col("course_id").contains("NOT")).groupBy("course_id").agg(F.max("last").alias("seq"))
+    return anew.unionByName(ended.select("course_id", "seq", F.lit("DELETE").alias("type"), F.lit(9).alias("rank")))
+
+
 def enrol_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.lit("ENROLL").alias("type"),

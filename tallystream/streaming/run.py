@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import threading
 import time
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 # How often the file sink flushes and when an idle job ends.
 FLUSH_ROWS = 100
@@ -30,9 +32,14 @@ def write_json(df: DataFrame, path: str, checkpoint: str, seconds: int = FLUSH_S
     return flush_trigger(writer, seconds).start()
 
 
-def to_table(df: DataFrame, name: str, mode: str = "append", fmt: str = "memory") -> StreamingQuery:
-    """Show each micro-batch: ``fmt`` 'console' prints it, 'memory' keeps it as a table."""
-    return df.writeStream.format(fmt).queryName(name).outputMode(mode).start()
+def to_console(df: DataFrame, mode: str = "append") -> StreamingQuery:
+    """Print the first rows of each micro-batch."""
+    return df.writeStream.format("console").outputMode(mode).start()
+
+
+def to_table(df: DataFrame, name: str, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Append to the table ``name``, whose files the tasks write below ``path``."""
+    return df.writeStream.option("path", path).option("checkpointLocation", checkpoint).toTable(name, format=fmt)
 
 
 def run_stream(
@@ -92,9 +99,33 @@ def stop_when_idle(query: StreamingQuery, seconds: float = IDLE_SECONDS, poll: f
         time.sleep(poll)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped because they were older than the watermark, over the progress reports
-    Spark keeps (``spark.sql.streaming.numRecentProgressUpdates``)."""
-    return sum(
-        int(op["numRowsDroppedByWatermark"]) for p in query.recentProgress for op in p["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows of each query that were dropped because they were older than its watermark.
+
+    Add it with ``spark.streams.addListener`` before the query starts: it hears of every
+    micro-batch, however many there are.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: dict[str, int] = defaultdict(int)
+        self._ended: dict[str, threading.Event] = defaultdict(threading.Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        now = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self._dropped[str(event.progress.runId)] += now
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def of(self, query: StreamingQuery, wait: float = 60) -> int:
+        """Rows dropped by a run that has ended; reports come in order, its end last."""
+        run = str(query.runId)
+        if not self._ended[run].wait(wait):
+            raise TimeoutError("the query has not reported its end")
+        return self._dropped[run]

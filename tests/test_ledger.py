@@ -73,12 +73,46 @@ def test_delete_and_new_incarnation(spark):
          (1, "CREATE", "c2"), (2, "DELETE", "c2"), (3, "DELETE", "c9")],
         "seq bigint, type string, course_id string",
     )
-    assert rows(lg.course_state(log)) == [("c1", False), ("c2", True)]
+    assert rows(lg.course_state(log).select("course_id", "is_deleted")) == [("c1", False), ("c2", True)]
     for hot_rows in (10**6, 2):
         got = lg.incarnations(log, hot_rows=hot_rows).filter("type = 'ENROLL'").select("seq", "incarnation")
         assert rows(got) == [(2, 1), (5, 2)]
 
 
+def test_course_made_anew_is_empty(spark):
+    life = spark.createDataFrame(
+        [(1, "CREATE", "c1"), (20, "DELETE", "c1"), (30, "CREATE", "c1"), (1, "CREATE", "c2"), (40, "DELETE", "c2")],
+        "seq bigint, type string, course_id string",
+    )
+    users = spark.createDataFrame([("s1", "STUDENT"), ("s2", "STUDENT")], "user_id string, role string")
+    courses = lg.course_state(life)
+    log = spark.createDataFrame(
+        [(2, "s1", "c1"), (25, "s2", "c1"), (31, "s2", "c1"), (2, "s1", "c2")], "seq bigint, user_id string, course_id string"
+    )
+    enrolled = lg.enrolments(log, users, courses)
+    assert rows(enrolled.select("student", "course", "since")) == [("s2", "c1", 31)]
+    defined = spark.createDataFrame(
+        [(3, "c1", "p1"), (24, "c1", "p9"), (32, "c1", "p2"), (33, "c1", "p3"), (3, "c2", "p1")], "seq bigint, course string, project string"
+    )
+    projects = lg.projects(defined, courses)
+    assert rows(projects.select("course", "project")) == [("c1", "p2"), ("c1", "p3")]
+    events = work(spark, [
+        (4, "SUBMIT", "s1", "c1", "p1", None), (5, "RATE", "s1", "c1", "p1", 20), (21, "SUBMIT", "s1", "c1", "p1", None),
+        (34, "SUBMIT", "s2", "c1", "p2", None), (35, "RATE", "s2", "c1", "p2", 30), (6, "SUBMIT", "s1", "c2", "p1", None)])
+    now = lg.of_current(events, courses)
+    assert rows(now.select("seq")) == [(34,), (35,)]
+    votes = lg.grade_state(now, lg.grade_cells(enrolled, projects))
+    assert rows(votes) == [("s2", "c1", "p2", 30), ("s2", "c1", "p3", -2)]
+    turns = life.withColumnRenamed("course_id", "course")
+    for hot_rows in (10**6, 2):
+        tagged = lg.by_incarnation(events, turns, ["seq"], hot_rows=hot_rows)
+        assert rows(tagged.select("course", "seq", "incarnation")) == [
+            ("c1", 34, 3), ("c1", 35, 3), ("c1", 4, 1), ("c1", 5, 1), ("c2", 6, 1)]
+        made = lg.by_incarnation(defined, turns, ["seq"], hot_rows=hot_rows)
+        # done in the first c1 and kept; the second one still misses p3
+        assert rows(lg.completions(tagged, made, hot_rows=hot_rows).select("student", "course", "done_at")) == [("s1", "c1", 5)]
+
+
 def fold(events, project_table):
     """One event after the other, the way a consumer of the log would do it."""
     vote, history, done = {}, [], {}
@@ -135,8 +169,7 @@ def test_large_lists_come_in_pages(spark):
     projects = spark.createDataFrame([("c1", "p1"), ("c2", "p1")], "course string, project string")
     got = lg.rosters(enrolled, projects, page_rows=100).collect()
     big = [r for r in got if r["course"] == "c1"]
-    assert len(big) == 10 and sorted(s for r in big for s in r["students"]) == list(range(1000))
-    assert max(len(r["students"]) for r in big) < 150
+    assert {r["page"]: r["students"] for r in big} == {i: list(range(100 * i, 100 * i + 100)) for i in range(10)}
     assert [(r["page"], r["students"], r["projects"]) for r in got if r["course"] == "c2"] == [(0, [1], ["p1"])]
 
 

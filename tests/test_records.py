@@ -98,7 +98,7 @@ def test_stop_when_idle(spark):
     folder = fresh_dir(spark, "idle")
     spark.range(3).write.parquet(folder)
     stream = spark.readStream.schema("id bigint").parquet(folder)
-    query = srun.to_table(stream, "idle_rows")
+    query = srun.to_table(stream, "idle_rows", fresh_dir(spark, "idle-table"), fresh_dir(spark, "idle-checkpoint"))
     started = time.monotonic()
     srun.stop_when_idle(query, seconds=2)
     assert not query.isActive and time.monotonic() - started < 60

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallystream.operators import trends as tr
 from tallystream.session import fresh_dir
 from tallystream.streaming import trends as st
-from tallystream.streaming.run import late_rows, run_stream
+from tallystream.streaming.run import LateRows, run_stream
 
 
 def day(n, month=1):
@@ -79,10 +79,18 @@ def test_in_time_row_counts_and_late_row_is_dropped(spark):
             [("A", day(8), 1.0)],
         ],
     )
-    out, query = _drained(spark, st.stream_daily_avg(stream, "ts", "grp", "value"))
+    late = LateRows()
+    kept = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(kept, 1)  # the count must not rest on the reports Spark keeps
+    spark.streams.addListener(late)
+    try:
+        out, query = _drained(spark, st.stream_daily_avg(stream, "ts", "grp", "value"))
+        assert late.of(query) == 1
+    finally:
+        spark.streams.removeListener(late)
+        spark.conf.unset(kept)
     got = {r["date"]: r["daily_avg"] for r in out.collect()}
     assert got[day(2)] == 15.0
-    assert late_rows(query) == 1
 
 
 def test_stream_equals_batch_on_closed_windows(spark):
