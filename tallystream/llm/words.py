@@ -7,25 +7,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-CACHED_WORDS = 250_000
-SLICE_BYTES = 2_000_000  # a worker's memory of word hashes; beyond it, it starts anew
+SLICE_BYTES = 2_000_000
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
 _S = np.uint64(32)
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
-_HASHES = _WordHashes()
-
-
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 of a string column, None for null."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
@@ -49,7 +37,7 @@ def slices(batches, sized: int, limit: int):
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
