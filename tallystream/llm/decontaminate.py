@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallystream.llm.words import as_bytes, slices
+from tallystream.llm.words import as_bytes, in_arrow, slices
 
 WINDOW = 10
 SHARD_BYTES = 4_000_000
@@ -210,7 +210,7 @@ def contamination(
                 rows = pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_words", "counted", "ranges", "items", "matches"])
                 yield rows if counted else rows.filter(pa.array([h is not None for h in hits], pa.bool_()))
 
-        return key.mapInArrow(run, schema)
+        return key.transform(in_arrow, run, schema)
 
     parts = [searched(block, int(i == 0)) for i, block in enumerate(_blocks(benchmark, item_id, item_text, window))]
     rows = parts[0]
@@ -241,7 +241,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_i
                 hit = np.bincount(suffixes.search(as_bytes(part.column(at)))[1], minlength=part.num_rows)
                 yield part.filter(pa.array(hit == 0))
 
-        return rows.mapInArrow(run, docs.schema)
+        return rows.transform(in_arrow, run, docs.schema)
 
     for block in _blocks(benchmark, item_id, item_text, window):
         docs = without(docs, block)

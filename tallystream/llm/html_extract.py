@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tallystream.llm.words import in_arrow
+
 THRESHOLD = 0.3  # of the mean fused ratio of a page
 COVERAGE = 0.9  # of content text that the root must hold
 SMOOTHING = (0.25, 0.5, 0.25)
@@ -231,6 +233,6 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), texts], ["page_id", "url", "text"])
 
     kinds = [pages.schema[c].dataType.simpleString() for c in (page_id, url)]
-    return pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html")).mapInArrow(
-        run, f"page_id {kinds[0]}, url {kinds[1]}, text string"
+    return pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(page).alias("html")).transform(
+        in_arrow, run, f"page_id {kinds[0]}, url {kinds[1]}, text string"
     )

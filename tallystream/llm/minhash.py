@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallystream.llm.components import component_labels
 from tallystream.llm.runs import runs
-from tallystream.llm.words import SLICE_BYTES, as_bytes, mix, slices, window_hashes, word_hashes
+from tallystream.llm.words import SLICE_BYTES, as_bytes, in_arrow, mix, slices, window_hashes, word_hashes
 from tallystream.session import cut_lineage
 
 SHINGLE = 5
@@ -99,8 +99,8 @@ def _signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
             )
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, text_hash long, n_shingles long, node binary, bands array<long>, marks binary"
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text")).transform(
+        in_arrow, run, f"doc_id {kind}, text_hash long, n_shingles long, node binary, bands array<long>, marks binary"
     )
 
 
@@ -147,7 +147,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFram
     few = nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     held = F.broadcast(nodes) if few else nodes
     same = texts["rep"].eqNullSafe(held["rep"]) & (texts["rep_hash"] == held["rep_hash"])
-    return texts.join(held, same).select("node", "text").mapInArrow(run, "node binary, shingles array<long>").dropDuplicates(["node"])
+    return texts.join(held, same).select("node", "text").transform(in_arrow, run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -178,7 +178,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     left = size.select(F.col("node").alias("u"), F.col("n_shingles").alias("a"), F.col("marks").alias("p"))
     right = size.select(F.col("node").alias("v"), F.col("n_shingles").alias("b"), F.col("marks").alias("q"))
     sized = pairs.join(left, "u").join(right, "v").filter(100 * F.least("a", "b") >= PERCENT * F.greatest("a", "b"))
-    return cut_lineage(sized.select("u", "v", "p", "q").mapInArrow(agreeing, "u binary, v binary"))
+    return cut_lineage(sized.select("u", "v", "p", "q").transform(in_arrow, agreeing, "u binary, v binary"))
 
 
 def _left_over(tables: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -251,7 +251,7 @@ def _left_over(tables: DataFrame, labels: DataFrame, classes: DataFrame, docs: D
             if u:
                 yield pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
-    return cut_lineage(dealt.mapInArrow(compared, "u binary, v binary").distinct())
+    return cut_lineage(dealt.transform(in_arrow, compared, "u binary, v binary").distinct())
 
 
 def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

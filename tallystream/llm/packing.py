@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallystream.llm.ranks import ranked, stored_with_parts
 from tallystream.llm.tokens import VOCABULARY, encoder
-from tallystream.llm.words import as_bytes, slices
+from tallystream.llm.words import as_bytes, in_arrow, slices
 
 LIMIT = 2048
 END = 1
@@ -61,8 +61,8 @@ def token_pieces(
             yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).transform(
+        in_arrow, run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
     )
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallystream.llm.decontaminate import item_words
 from tallystream.llm.quality_rules import Measures
-from tallystream.llm.words import SLICE_BYTES, as_bytes, slices, word_hashes
+from tallystream.llm.words import SLICE_BYTES, as_bytes, in_arrow, slices, word_hashes
 from tallystream.session import cut_lineage
 
 SAMPLE = 8_000  # labelled rows a model is fitted on, at most
@@ -111,7 +111,7 @@ def fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, str], doc_id:
             )
 
     schema = "slots array<int>, dense array<double>, " + ", ".join(f"label_{t} double" for t in targets)
-    rows = sorted(held.mapInArrow(run, schema).collect(), key=str)  # any order of tasks, one model
+    rows = sorted(held.transform(in_arrow, run, schema).collect(), key=str)  # any order of tasks, one model
     out = {}
     for t in targets:
         own = [r for r in rows if r[f"label_{t}"] is not None]
@@ -144,7 +144,7 @@ def evidence(docs: DataFrame, models: dict[str, Classifier], host: Column, path:
         F.coalesce(path.cast("string"), F.lit("")).alias("path"),
         F.col(text).alias("text"),
     )
-    return rows.mapInArrow(run, f"doc_id {kind}, host string, path string, " + ", ".join(f"{n} double" for n in names))
+    return rows.transform(in_arrow, run, f"doc_id {kind}, host string, path string, " + ", ".join(f"{n} double" for n in names))
 
 
 def _strength(groups: DataFrame, total: Column, prior: Column) -> float:

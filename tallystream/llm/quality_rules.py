@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tallystream.llm.words import SLICE_BYTES, as_bytes, slices, word_numbers
+from tallystream.llm.words import SLICE_BYTES, as_bytes, in_arrow, slices, word_numbers
 
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
@@ -118,7 +118,7 @@ def sampled_order(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "t
             )
 
     sample = docs.select(F.col(text).alias("text")).sample(SAMPLE_SHARE, seed=7)
-    seen = sample.mapInArrow(measure, "rule int, cost double, rejected boolean").take(rows * len(rules))
+    seen = sample.transform(in_arrow, measure, "rule int, cost double, rejected boolean").take(rows * len(rules))
     cost, lost = [1e-9] * len(rules), [0] * len(rules)
     for row in seen:
         cost[row.rule] += row.cost
@@ -140,7 +140,7 @@ def keep_good(docs: DataFrame, rules: Sequence[Rule] = RULES, text: str = "text"
             good = [first_rejecting(Measures(x), ordered) is None for x in as_bytes(batch.column(at))]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.transform(in_arrow, keep, docs.schema)
 
 
 def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -167,6 +167,6 @@ def judge(docs: DataFrame, rules: Sequence[Rule] = RULES, doc_id: str = "doc_id"
             )
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, " + ", ".join(f"{k} long" for k in names) + ", base_failed boolean, kept boolean, rejected_by string"
+    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).transform(
+        in_arrow, run, f"doc_id {kind}, " + ", ".join(f"{k} long" for k in names) + ", base_failed boolean, kept boolean, rejected_by string"
     )

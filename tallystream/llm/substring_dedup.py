@@ -32,7 +32,7 @@ import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tallystream.llm.words import as_bytes, slices, window_hashes, word_hashes, word_numbers
+from tallystream.llm.words import as_bytes, in_arrow, slices, window_hashes, word_hashes, word_numbers
 from tallystream.session import cut_lineage
 
 WINDOW = 20
@@ -186,8 +186,8 @@ def repeated_minimisers(keyed: DataFrame) -> DataFrame:
         if held:
             yield done()
 
-    sent = keyed.select("row", "text").mapInArrow(send, schema)
-    met = sent.repartition("bin").sortWithinPartitions("bin").mapInArrow(meet, schema)
+    sent = keyed.select("row", "text").transform(in_arrow, send, schema)
+    met = sent.repartition("bin").sortWithinPartitions("bin").transform(in_arrow, meet, schema)
     found = met.select(F.col("rows")[0].alias("row"), "codes")
     return found.groupBy("row").agg(F.flatten(F.collect_list("codes")).alias("codes"))
 
@@ -348,18 +348,18 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     by one space; null where none was removed)."""
     keyed = _keyed(docs, doc_id, text)
     flagged = repeated_minimisers(keyed)
-    pressed = keyed.mapInArrow(_compressed, "doc long, no_id boolean, row long, text binary, size long")
+    pressed = keyed.transform(in_arrow, _compressed, "doc long, no_id boolean, row long, text binary, size long")
     joined = pressed.join(flagged, "row", "left").select("doc", "no_id", "row", "text", "size", "codes")
-    parts = cut_lineage(joined.mapInArrow(_split_up, _PARTS))
+    parts = cut_lineage(joined.transform(in_arrow, _split_up, _PARTS))
     strings = parts.filter(F.col("kind") == STRING).select("bucket", "doc", "row", "start", "packed")
-    counted = strings.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_count, _PARTS)
+    counted = strings.repartition("bucket").sortWithinPartitions("bucket").transform(in_arrow, _count, _PARTS)
     marks = parts.filter(F.col("kind") == MARK).unionByName(counted)
     marks = marks.groupBy("doc", "row").agg(F.collect_list(F.struct("first", "stop")).alias("marks"))
     texts = parts.filter(F.col("kind") == TEXT).select("doc", "no_id", "row", "text")
     finished = (
         texts.join(marks, ["doc", "row"], "left")
         .select("doc", "no_id", "text", "marks")
-        .mapInArrow(_finish, "doc long, no_id boolean, n_words long, n_removed long, kept_sha256 string, kept_text string")
+        .transform(in_arrow, _finish, "doc long, no_id boolean, n_words long, n_removed long, kept_sha256 string, kept_text string")
     )
     untouched = parts.filter(F.col("kind") == UNTOUCHED).select(
         "doc", "no_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("digest").alias("kept_sha256"), F.lit(None).cast("string").alias("kept_text")

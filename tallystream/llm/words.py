@@ -2,18 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2_000_000
+BATCH_BYTES = 4_000_000
+_BATCH_SETTING, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xD6E8FEB86659FD93)
 _S = np.uint64(32)
 
 
+def in_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` on batches of about ``BATCH_BYTES``, whatever the length of the texts.
+
+    Rows differ in size by orders of magnitude, so a bound in rows bounds no memory. A session
+    that sets the size itself keeps it; batches never change a result.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
+        conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
+    return df.mapInArrow(task, schema)
+
+
 def as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 of a string column, None for null."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
