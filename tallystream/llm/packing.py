@@ -62,7 +62,10 @@ def token_pieces(
 
     kind = docs.schema[doc_id].dataType.simpleString()
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).transform(
-        in_arrow, run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids
+        in_arrow,
+        run,
+        f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids,
+        keeps=True,
     )
 
 

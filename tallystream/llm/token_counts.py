@@ -32,7 +32,7 @@ def with_token_counts(docs: DataFrame, text: str = "text", vocabulary: str = VOC
             counts = encode(as_bytes(batch.column(0).slice(start, stop - start)))[1]
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64())], ["n_tokens"])
 
-    return docs.select(F.col(text).alias("text")).transform(in_arrow, run, "n_tokens long")
+    return docs.select(F.col(text).alias("text")).transform(in_arrow, run, "n_tokens long", keeps=True)
 
 
 def length_histogram(counts: DataFrame) -> DataFrame:

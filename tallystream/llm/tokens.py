@@ -8,12 +8,13 @@ from __future__ import annotations
 
 import re
 from array import array
-from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from tallystream.llm.words import KEPT
+
 VOCABULARY = "word_bpe_49k.json"
 CACHED = 350_000
 LASTING = 220_000  # the first words met, mostly the frequent ones, stay
@@ -102,7 +103,9 @@ class WordEncoder:
         return ids, np.diff(upto[edges])
 
 
-@lru_cache(maxsize=2)
 def encoder(vocabulary: str = VOCABULARY) -> WordEncoder:
-    """One per worker. ``vocabulary``: a name in the public package, or a path."""
-    return WordEncoder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
+    """One per worker while it tokenizes. ``vocabulary``: a name in the public package, or a path."""
+    if vocabulary not in KEPT:
+        KEPT.clear()
+        KEPT[vocabulary] = WordEncoder(vocabulary if "/" in vocabulary else public_tokenizers.path(vocabulary))
+    return KEPT[vocabulary]

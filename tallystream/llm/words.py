@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,16 +20,38 @@ _B = np.uint64(0xD6E8FEB86659FD93)
 _S = np.uint64(32)
 
 
-def in_arrow(df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+# What a worker keeps from one task to the next of the same kind.
+KEPT: dict[str, object] = {}
+
+
+def give_back() -> None:
+    """Return freed memory to the system; an idle worker would hold it through later stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
+def in_arrow(
+    df: DataFrame, task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, keeps: bool = False
+) -> DataFrame:
     """``mapInArrow`` on batches of about ``BATCH_BYTES``, whatever the length of the texts.
 
     Rows differ in size by orders of magnitude, so a bound in rows bounds no memory. A session
-    that sets the size itself keeps it; batches never change a result.
+    that sets the size itself keeps it; batches never change a result. A task ends by giving
+    its memory back, and drops what other tasks have ``KEPT`` unless it ``keeps`` it too.
     """
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            KEPT.clear()
+        yield from task(batches)
+        give_back()
+
     conf = df.sparkSession.conf
     if conf.get(_BATCH_SETTING) == _BATCH_DEFAULT:
         conf.set(_BATCH_SETTING, f"{BATCH_BYTES}b")
-    return df.mapInArrow(task, schema)
+    return df.mapInArrow(tidy, schema)
 
 
 def as_bytes(column: pa.Array) -> list[bytes | None]:
