@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, NumericType
 
 from tallystream.llm.components import component_labels
 from tallystream.llm.runs import runs
@@ -45,7 +46,7 @@ HASHES = 2 * BANDS * BAND_SIZE
 PERCENT = 85
 AGREEING = 40  # of 60 hashes; at similarity 0.85 fewer agree once in some 10,000 pairs
 BLOCK_ROWS = 512
-BROADCAST_ROWS = 200_000  # 16-byte keys, some 5 MB
+BROADCAST_ROWS = 200_000  # keys of up to 32 bytes, some 10 MB
 
 _SEEDS = np.random.default_rng(1).integers(1, 1 << 63, HASHES, dtype=np.uint64) | np.uint64(1)
 
@@ -134,6 +135,12 @@ def _tables(classes: DataFrame) -> DataFrame:
     return cut_lineage(rows.join(pivots, "key"))
 
 
+def _held(keys: DataFrame) -> DataFrame:
+    """``keys`` to be broadcast if they are few and of fixed width; beyond that Spark shuffles the texts."""
+    fixed = all(isinstance(f.dataType, (NumericType, BooleanType)) or f.name == "node" for f in keys.schema)
+    return F.broadcast(keys) if fixed and keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else keys
+
+
 def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFrame:
     """node, shingles (sorted hashes) of the classes in ``nodes`` (node, rep, rep_hash)."""
 
@@ -144,8 +151,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 
     texts = docs.select(F.col(doc_id).alias("rep"), F.xxhash64(F.col(text)).alias("rep_hash"), F.col(text).alias("text"))
-    few = nodes.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    held = F.broadcast(nodes) if few else nodes
+    held = _held(nodes)
     same = texts["rep"].eqNullSafe(held["rep"]) & (texts["rep_hash"] == held["rep_hash"])
     return texts.join(held, same).select("node", "text").transform(in_arrow, run, "node binary, shingles array<long>").dropDuplicates(["node"])
 
@@ -297,7 +303,7 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     def looked_up(wanted: DataFrame, how: str) -> DataFrame:
         same = docs[doc_id].eqNullSafe(wanted["odd_id"]) & (F.xxhash64(docs[text]) == wanted["odd_hash"])
-        return docs.join(wanted, same, how)
+        return docs.join(_held(wanted), same, how)
 
     passed = looked_up(odd, "left_anti")
     again = odd.filter("stays")
