@@ -7,8 +7,13 @@ ssn) are added where checksum or context lifts their score to ``MIN_SCORE``.
 
 Positions come from splitting a text by the same expression that extracts the matches: a
 match starts after all pieces and matches before it. The expressions never rescan a run of
-characters nor recurse over it, so very long texts and runs are safe, and match exactly what
-the plain leftmost, non-overlapping forms match.
+characters nor recurse over it, so very long texts and runs are safe, and those of the base
+kinds match exactly what the plain leftmost, non-overlapping forms match.
+
+A bank account number may be followed by a space and capitals or digits of the text, so its
+expression only finds where one may begin. It ends where mod-97 holds: at the length that its
+country prescribes, or for other codes at the longest of 15 to 34 letters and digits. Every
+beginning is judged by itself, so spans of two account numbers may overlap.
 
 Rows: a null text counts as empty when searched and stays null when masked; repeated rows are
 searched each; equal spans of two kinds keep the order of the kinds; other columns pass
@@ -32,13 +37,23 @@ PATTERNS = {
     # Whole runs of 14 to 19 digits with single separators; longer and shorter ones fail anyway.
     "card": r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    # The country and check digits of an account number; ``_account`` finds its end.
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 NEEDS = {"email": "@", "ip": ".", "phone": "+", "ssn": "-"}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _IP = rf"^{_PART}\.{_PART}\.{_PART}\.{_PART}$"
 
+# Fixed values of the IBAN registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN_MIN, _IBAN_MAX = 15, 34
+
 # Score of a confirmed span before its context, and words that raise it.
 SCORES = {"email": 0.8, "ip": 0.6, "card": 0.9, "phone": 0.6, "iban": 0.9, "ssn": 0.3}
 CONTEXT = {
@@ -79,7 +94,30 @@ def _mod97(match: Column) -> Column:
         ).otherwise(acc * 100 + F.ascii(F.substring(turned, i, F.lit(1))) - 55)
         % 97,
     )
-    return F.length(plain).between(15, 34) & (value == 1)
+    return value == 1
+
+
+def _account(text: Column, start: Column) -> Column:
+    """The account number that begins at ``start``, empty if there is none."""
+    # One sign more than the longest with all its spaces, to see that it ends there.
+    ahead = F.substring(text, (start + 1).cast("int"), F.lit(2 * _IBAN_MAX))
+    run = F.regexp_extract(ahead, rf"^[A-Z0-9](?:\x20?[A-Z0-9]){{0,{_IBAN_MAX - 1}}}+", 0)
+    country = F.substring(ahead, 1, 2)
+    prescribed = F.lit(None).cast("int")
+    for size, codes in IBAN_LENGTHS.items():
+        prescribed = F.when(country.isin(*codes.split()), size).otherwise(prescribed)
+
+    def ends(n: Column) -> Column:
+        size = F.length(F.replace(F.substring(run, F.lit(1), n), F.lit(" "), F.lit("")))
+        return (
+            F.substring(ahead, n, F.lit(2)).rlike("^[A-Z0-9](?![A-Za-z0-9])")
+            & size.between(_IBAN_MIN, _IBAN_MAX)
+            & (size == F.coalesce(prescribed, size))
+            & _mod97(F.substring(run, F.lit(1), n))
+        )
+
+    longest_first = F.sequence(F.length(run), F.lit(1), F.lit(-1))
+    return F.substring(run, F.lit(1), F.coalesce(F.try_element_at(F.filter(longest_first, ends), F.lit(1)), F.lit(0)))
 
 
 def _confirmed(kind: str, match: Column) -> Column:
@@ -90,7 +128,7 @@ def _confirmed(kind: str, match: Column) -> Column:
     if kind == "phone":
         return F.length(_digits(match)).between(10, 15)
     if kind == "iban":
-        return _mod97(match)
+        return F.length(match) > 0
     if kind == "ssn":
         return ~match.rlike("^(?:000|666|9)|-00-|-0000$")
     return F.lit(True)
@@ -136,6 +174,13 @@ def _spans(kind: str, text: Column, matches: Column) -> Column:
             (F.lit(SCORES[kind]) + F.when(helped, CONTEXT_BONUS).otherwise(0.0)).alias("score"),
         )
 
+    if kind == "iban":
+
+        def whole(s: Column) -> Column:
+            found = _account(text, s["start"])
+            return F.struct(s["start"].alias("start"), (s["start"] + F.length(found)).alias("stop"), found.alias("found"))
+
+        walked = F.transform(walked, whole)
     kept = F.transform(F.filter(walked, lambda s: _confirmed(kind, s["found"])), scored)
     if kind not in BASE_KINDS:
         kept = F.filter(kept, lambda s: s["score"] >= MIN_SCORE)

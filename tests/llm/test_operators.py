@@ -219,6 +219,27 @@ def test_pii_against_plain_patterns(spark, edge, empty):
     assert pii.masked(edge).columns == edge.columns and pii.masked(edge).count() == len(EDGE) and pii.masked(empty).count() == 0
 
 
+def test_account_numbers_in_running_text(spark):
+    gb, de, spaced, no, other = "GB29NWBK60161331926819", "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "NO9386011117947", "ZZ92ABCD1234567890"
+    cases = {
+        f"{gb} Please call": [gb],
+        f"{spaced} 12 May": [spaced],
+        f"{de} BIC: X": [de],
+        f"Überweisung an {spaced} Commerzbank": [spaced],
+        f"{no} 7 {spaced} {gb} A B C": [no, spaced, gb],
+        f"REF12 AT12 {spaced} {'1234 ' * 9}": [spaced],
+        f"{other} OF 1 MAY": [other],
+        f"{other}.": [other],
+        f"{de}0 {de}x x{de} DE88370400440532013000 DE89 3704 0044": [],
+        "": [],
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: [r.text[s.start : s.stop] for s in r.pii_spans if s.kind == "iban"] for r in pii.with_spans(docs).collect()}
+    assert got == dict(enumerate(cases.values()))
+    out = {r.doc_id: r.text for r in pii.masked(docs).collect()}
+    assert out[0] == "<iban> Please call" and out[1] == "<iban> 12 May" and out[2] == "<iban> BIC: X"
+
+
 # -- tokens -------------------------------------------------------------------------------------
 
 
