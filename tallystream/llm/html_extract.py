@@ -4,9 +4,14 @@ A page is cut into blocks of text, each with the path of its block elements from
 Text length and punctuation are summed per path and divided by the path's blocks; the two
 ratios are smoothed along the page, fused by their geometric mean, and paths above a share of
 the page's mean are content. The content root is the smallest element that holds nearly all
-text of content paths; an article or main element that holds most of it is preferred.
+text of content paths; an article or main element that holds most of it is preferred. All
+remaining blocks inside the root are the text.
 Menus, page headers, footers, sidebars, notices, adverts, forms, comments and the like are
-left out by element, role, class or id before ratios are taken.
+left out by element, role, class or id before ratios are taken. Parts of a class or id are a
+weak sign ("has-sidebar", "no-ads"): an element stays in spite of them if it holds the page's
+article or main element, or most of the content text of the page (inside an article or main:
+of that). Where an article or main is elsewhere, or the name is one of a discussion, it must
+hold nearly all.
 
 Rows: a null or empty page, or one without content, has an empty text; repeated rows are
 extracted each; markup may be unclosed or cut off; other columns are not read; an empty table
@@ -51,6 +56,7 @@ NAMES = frozenset(
     " notices notification notifications outbrain pager pagination paywall popup promo promotion recommended related replies reply"
     " respond share sharebar sharing sidebar signup skip social sponsor sponsored subscribe subscription taboola toolbar widget widgets".split()
 )
+DISCUSSION = frozenset("comment comments commentlist disqus replies reply respond".split())
 ARTICLES = frozenset(("article", "main"))
 
 _TOKEN = re.compile(
@@ -64,44 +70,59 @@ _PUNCTUATION = re.compile(r"[.,;:!?…。、，؟¿¡]")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "left_out", "path", "article", "held")
-
-    def __init__(self, tag: str, parent: _Element | None, left_out: bool) -> None:
-        self.tag, self.parent, self.left_out = tag, parent, left_out
+    __slots__ = ("tag", "parent", "left_out", "path", "article", "held", "names", "named", "stays", "mass", "talk")
+
+    def __init__(self, tag: str, parent: _Element | None, left_out: bool, names: frozenset[str] | set[str] = frozenset()) -> None:
+        self.tag, self.parent, self.left_out, self.names = tag, parent, left_out, names
+        # The innermost element, this or one around it, whose names speak against it.
+        self.named: _Element | None = self if names and tag not in ARTICLES else parent.named if parent else None
+        self.stays = True
+        self.mass = self.talk = 0  # content text below, and that of it in discussions
         self.article = (parent is not None and parent.article) or tag in ARTICLES
         above = parent.path if parent else ""
         self.path = f"{above}/{tag}" if tag in BLOCK else above
         self.held = 0.0
 
 
-def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
+def _left_out(tag: str, attributes: str, inside_article: bool) -> tuple[bool, set[str]]:
+    """Is the element left out for certain; and those parts of its names that speak against it."""
+    against: set[str] = set()
     if tag in LEFT_OUT or tag == "header" and not inside_article:
-        return True
+        return True, against
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("body", "html", "article", "main"):
+            return True, against
+        if name in ("class", "id") and tag not in ("body", "html"):
             words = set(_SPLIT.split(value))
-            if words & NAMES or "header" in words and not inside_article:
-                return True
-    return False
+            against |= words & NAMES
+            if "header" in words and not inside_article:
+                against.add("header")
+    return False, against
 
 
-def blocks(page: str) -> list[tuple[_Element, str]]:
-    """(element, text) of every block that is not left out, in page order."""
-    out: list[tuple[_Element, str]] = []
+_Pieces = list[tuple[str, _Element | None]]
+
+
+def _joined(pieces: _Pieces) -> str:
+    return " ".join("".join([p for p, named in pieces if named is None or named.stays]).split())
+
+
+def _all_blocks(page: str) -> list[tuple[_Element, _Pieces]]:
+    """(element, pieces) of every block that is not left out for certain, in page order; a piece
+    of text comes with the innermost element around it whose names speak against it."""
+    out: list[tuple[_Element, _Pieces]] = []
     root = _Element("html", None, False)
-    stack, buffer, at = [root], [], 0
+    stack, at = [root], 0
+    buffer: _Pieces = []
 
     def flush() -> None:
         if buffer:
-            text = " ".join("".join(buffer).split())
-            if text:
+            if any(not p.isspace() for p, _ in buffer):
                 top = stack[-1]
                 while top.parent is not None and top.tag not in BLOCK:
                     top = top.parent
-                out.append((top, text))
+                out.append((top, buffer.copy()))
             buffer.clear()
 
     def close(tags: tuple[str, ...], scopes: frozenset[str] = frozenset()) -> None:
@@ -116,7 +137,7 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
     def text_until(stop: int) -> None:
         if stop > at and not stack[-1].left_out:
             piece = page[at:stop]
-            buffer.append(html.unescape(piece) if "&" in piece else piece)
+            buffer.append((html.unescape(piece) if "&" in piece else piece, stack[-1].named))
 
     for token in _TOKEN.finditer(page):
         text_until(token.start())
@@ -127,7 +148,7 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
         tag = tag.lower()
         if tag in VOID:
             if tag == "br" and not stack[-1].left_out:
-                buffer.append(" ")
+                buffer.append((" ", stack[-1].named))
             elif tag == "hr":
                 flush()
             continue
@@ -155,12 +176,66 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
             continue
         parent = stack[-1]
         if not token[4].rstrip().endswith("/") or tag in BLOCK:
-            stack.append(_Element(tag, parent, parent.left_out or tag == "head" or _left_out(tag, token[4], parent.article)))
+            gone, names = (True, set()) if parent.left_out or tag == "head" else _left_out(tag, token[4], parent.article)
+            stack.append(_Element(tag, parent, gone, names))
     text_until(len(page))
     flush()
     return out
 
 
+def _above(e: _Element | None) -> Iterator[_Element]:
+    while e is not None:
+        yield e
+        e = e.parent
+
+
+def _judge_names(found: list[tuple[_Element, _Pieces]]) -> None:
+    """Decide for every element with names against it whether it ``stays``."""
+    texts = [(e, _joined(pieces)) for e, pieces in found]
+    content = _content_paths([(e, t) for e, t in texts if t])
+    named: dict[_Element, None] = {}  # outer ones first
+    holders: dict[_Element, None] = {}
+    for element, pieces in found:
+        counts, above = element.path in content, set(_above(element))
+        for piece, n in pieces:
+            size = len(piece.strip()) if counts else 0
+            around = [e for e in _above(n) if e.named is e]
+            talk = any(e.names & DISCUSSION for e in around)
+            for e in reversed(around):
+                named.setdefault(e)
+            for e in _above(element if n is None or n in above else n):
+                e.mass += size
+                e.talk += size if talk else 0
+        for e in _above(element):
+            if e.tag in ARTICLES:
+                holders.setdefault(e)
+    page = next(e for e in _above(found[0][0]) if e.parent is None)
+    # The page's article and main: the largest; one that is itself named an advert or a comment
+    # only where there is no other.
+    own = [e for e in holders if e.mass and not e.names] or [e for e in holders if e.mass]
+    chosen = [max((e for e in own if e.tag == tag), key=lambda e: e.mass, default=None) for tag in ("article", "main")]
+    chosen = [e for e in chosen if e is not None]
+    holding = {e for c in chosen for e in _above(c.parent)}
+    for e in named:
+        around = next((a for a in _above(e.parent) if a in chosen), None)
+        scope, talks = around or page, bool(e.names & DISCUSSION)
+        if talks:
+            stays = e.mass >= COVERAGE * scope.mass > 0 or e in holding and 2 * max(c.mass for c in chosen if e in _above(c)) > scope.mass
+        else:
+            share, whole = e.mass - e.talk, scope.mass - scope.talk
+            stays = e in holding or (2 * share > whole if around or not chosen else share >= COVERAGE * whole > 0)
+        outer = e.parent.named if e.parent else None
+        e.stays = stays and (outer is None or outer.stays)
+
+
+def blocks(page: str) -> list[tuple[_Element, str]]:
+    """(element, text) of every block that is not left out, in page order."""
+    found = _all_blocks(page)
+    if any(n is not None for _, pieces in found for _, n in pieces):
+        _judge_names(found)
+    return [(e, text) for e, pieces in found if (text := _joined(pieces))]
+
+
 def _content_paths(found: list[tuple[_Element, str]]) -> set[str]:
     """Paths whose smoothed, fused ratio reaches the threshold."""
     paths = [e.path for e, _ in found]
@@ -192,36 +267,21 @@ def main_text(page: str | None) -> str:
     if not found:
         return ""
     content = _content_paths(found)
-    total, heaviest = 0, None
+    total = 0
     for element, text in found:
         if element.path in content:
             total += len(text)
-            e: _Element | None = element
-            while e is not None:
+            for e in _above(element):
                 e.held += len(text)
-                e = e.parent
-            if heaviest is None or element.held > heaviest.held:
-                heaviest = element
-    root, best = heaviest, None
-    while root.parent is not None and root.held < COVERAGE * total:
-        root = root.parent
+    root, best = None, None
     for element, _ in found:
-        e = element
-        while e is not None:
+        for e in _above(element):
+            if e.held >= COVERAGE * total and (root is None or e.held < root.held):
+                root = e
             if e.tag in ARTICLES and 2 * e.held >= total and (best is None or e.held > best.held):
                 best = e
-            e = e.parent
-    meant = best is not None
     root = best or root
-
-    def inside(e: _Element | None) -> bool:
-        while e is not None and e is not root:
-            e = e.parent
-        return e is root
-
-    return "\n\n".join(
-        text for e, text in found if inside(e) and (meant or e.path in content or e.tag[0] == "h" and e.tag[1:].isdigit())
-    )
+    return "\n\n".join(text for e, text in found if any(a is root for a in _above(e)))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

@@ -354,6 +354,24 @@ def test_pages(spark):
     assert Counter(r.text for r in html_extract.extract(rows).collect()) == Counter({html_extract.main_text(page): 2, "": 1})
 
 
+def test_names_and_short_blocks_of_pages():
+    text, more = "A long sentence, with marks, about the matter. " * 3, "Another one, just as long, and to the point. " * 3
+    side = '<div class="sidebar"><p>Links, ads, and more links.</p></div>'
+    want = f"Head\n\n{text.strip()}\n\n{more.strip()}"
+    inner = f"<h1>Head</h1><p>{text}</p><p>{more}</p>"
+    for name in ("layout has-sidebar", "with-sidebar", "no-ads", "elementor-widget-container", "has-header", "comments-open"):
+        for tag in ("article", "main", "div"):
+            assert html_extract.main_text(f'<body><div class="{name}"><{tag}>{inner}</{tag}>{side}</div></body>') == want, (name, tag)
+        assert html_extract.main_text(f'<body><article><div class="{name}">{inner}</div></article>{side}</body>') == want, name
+    assert html_extract.main_text(f'<body><x-app class="has-sidebar"><article>{inner}</article>{side}</x-app></body>') == want
+    talk = '<div id="comments"><article class="comment"><p>I disagree, strongly, with all of it.</p></article></div>'
+    teasers = '<div class="related"><article><p>Another story, in short.</p></article></div>'
+    assert html_extract.main_text(f'<body><main><div class="no-ads"><article>{inner}</article>{talk}</div>{teasers}</main></body>') == want
+    assert html_extract.main_text(f'<p>One <span class="social">Share</span> two, three, four.</p><p>{text}</p>') == f"One two, three, four.\n\n{text.strip()}"
+    short = f"<div><h2>Head</h2><p>{text}</p><ul><li>a</li><li>b</li></ul><table><caption>T</caption><tr><td>1</td><td>2</td></tr></table><p>{more}</p></div>"
+    assert html_extract.main_text(f"<body><div>Top</div>{short}<div>End</div></body>") == "\n\n".join(["Head", text.strip(), "a", "b", "T", "1", "2", more.strip()])
+
+
 def test_given_pages():
     import pyarrow.parquet as pq
 
