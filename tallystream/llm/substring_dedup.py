@@ -9,6 +9,9 @@ A window is 20 consecutive words of a document; its minimiser is the smallest ha
 2. The others do: a super-k-mer travels as one packed string of its words to the bucket of its
    minimiser. Windows that repeat within a task travel once, so a passage shared by a third of
    all documents is one string a task, not a string a document.
+   Buckets are counted first. The windows of one above ``BUCKET_BYTES`` (a short run in ever
+   different surroundings) travel singly, each to the bucket of its own hash; equal ones still
+   meet there, at most one from a slice.
 3. Sorting a bucket's windows counts them exactly (word by word; hashes only order them), and
    all but the first (smallest id, then start) are marked.
 4. Marks meet the texts again, and marked windows' words go.
@@ -38,6 +41,7 @@ from tallystream.session import cut_lineage
 WINDOW = 20
 MINIMISER = 8
 SLICE_BYTES = 4_000_000
+BUCKET_BYTES = 4_000_000
 BINS_A_PARTITION = 4
 NO_ID = np.iinfo(np.int64).max
 
@@ -273,7 +277,8 @@ def _split_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row=np.array(row, np.int64)[owner[head]],
             bucket=bucket[head],
             start=start[head],
-            packed=[b" ".join(words[p : p + n + WINDOW - 1]) for p, n in zip(at[head].tolist(), size.tolist())],
+            packed=(packed := [b" ".join(words[p : p + n + WINDOW - 1]) for p, n in zip(at[head].tolist(), size.tolist())]),
+            stop=[len(x) for x in packed],  # its size, for the count of the buckets
         )
 
 
@@ -288,6 +293,41 @@ def _marks(owner: np.ndarray, start: np.ndarray, later: np.ndarray, doc: np.ndar
         yield _rows(MARK, doc=doc[own], row=row[own], first=start[head], stop=start[head] + size)
 
 
+def _singly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The windows of super-k-mers, each for the bucket of its own hash, and marks of those that
+    repeat within this slice."""
+    for batch, a, b in slices(batches, 4, SLICE_BYTES // 8):  # windows take some eight times the bytes
+        part = batch.slice(a, b - a)
+        doc, row, begin = (part.column(i).to_numpy() for i in (1, 2, 3))
+        words, at, owner, start, bucket = [], [], [], [], []
+        for i, data in enumerate(part.column(4).to_pylist()):
+            own = data.split()
+            n = len(own) - WINDOW + 1
+            at.append(np.arange(n) + len(words))
+            owner.append(np.full(n, i))
+            start.append(np.arange(n) + begin[i])
+            bucket.append(window_hashes(word_hashes(own), WINDOW).view(np.int64))
+            words += own
+        at, owner, start, bucket = (np.concatenate(x) for x in (at, owner, start, bucket))
+        later, _ = repeated_windows(words, at, doc[owner], start)
+        yield from _marks(owner, start, later, doc, row)
+        owner, start, bucket, at = (x[~later] for x in (owner, start, bucket, at))
+        packed = [b" ".join(words[p : p + WINDOW]) for p in at.tolist()]
+        yield _rows(STRING, doc=doc[owner], row=row[owner], bucket=bucket, start=start, packed=packed, stop=[len(x) for x in packed])
+
+
+def bounded(strings: DataFrame, limit: int) -> DataFrame:
+    """Super-k-mers (bucket, doc, row, start, packed, stop) so that no bucket holds more than
+    ``limit`` bytes but for equal windows, and the marks found on the way."""
+    sizes = strings.groupBy("bucket").agg(F.sum("stop").alias("size"))
+    large = cut_lineage(sizes.filter(F.col("size") > limit).select("bucket"))
+    columns = ["bucket", "doc", "row", "start", "packed"]
+    if large.isEmpty():
+        return strings
+    singly = cut_lineage(strings.join(large, "bucket", "left_semi").select(*columns).transform(in_arrow, _singly, _PARTS))
+    return strings.join(large, "bucket", "left_anti").select(*_ARROW).unionByName(singly)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Marks from (bucket, doc, row, start, packed) sorted by bucket; whole buckets at a time."""
     held: list[tuple] = []
@@ -351,9 +391,10 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pressed = keyed.transform(in_arrow, _compressed, "doc long, no_id boolean, row long, text binary, size long")
     joined = pressed.join(flagged, "row", "left").select("doc", "no_id", "row", "text", "size", "codes")
     parts = cut_lineage(joined.transform(in_arrow, _split_up, _PARTS))
-    strings = parts.filter(F.col("kind") == STRING).select("bucket", "doc", "row", "start", "packed")
+    travelling = bounded(parts.filter(F.col("kind") == STRING), BUCKET_BYTES)
+    strings = travelling.filter(F.col("kind") == STRING).select("bucket", "doc", "row", "start", "packed")
     counted = strings.repartition("bucket").sortWithinPartitions("bucket").transform(in_arrow, _count, _PARTS)
-    marks = parts.filter(F.col("kind") == MARK).unionByName(counted)
+    marks = parts.filter(F.col("kind") == MARK).unionByName(travelling.filter(F.col("kind") == MARK)).unionByName(counted)
     marks = marks.groupBy("doc", "row").agg(F.collect_list(F.struct("first", "stop")).alias("marks"))
     texts = parts.filter(F.col("kind") == TEXT).select("doc", "no_id", "row", "text")
     finished = (

@@ -124,6 +124,25 @@ def test_passages_against_brute_force(spark, monkeypatch, slice_bytes):
     assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got.collect()), key=str) == _without(rows)
 
 
+def test_passages_around_one_short_notice(spark, monkeypatch):
+    limit = 3_000
+    monkeypatch.setattr(substring_dedup, "BUCKET_BYTES", limit)
+    largest, bounded = [], substring_dedup.bounded
+
+    def seen(strings, bound):
+        out = bounded(strings, bound)
+        sizes = out.filter(F.col("kind") == substring_dedup.STRING).groupBy("bucket").agg(F.sum(F.length("packed")).alias("size"))
+        largest.append([x.agg(F.max("size")).head()[0] for x in (strings.groupBy("bucket").agg(F.sum(F.length("packed")).alias("size")), sizes)])
+        return out
+
+    monkeypatch.setattr(substring_dedup, "bounded", seen)
+    notice = _text(7, 12, 10_000)
+    rows = [(i, " ".join(_text(100 + i, 40, 10_000) + notice + _text(300 + i % 40, 40, 10_000))) for i in range(80)]
+    got = substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(5))
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got.collect()), key=str) == _without(rows)
+    assert largest[0][0] > limit >= largest[0][1]
+
+
 def test_passages_edges(edge, empty):
     got = Counter((r.doc_id, r.n_removed) for r in substring_dedup.without_repeats(edge).collect())
     assert got == Counter([(None, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 30_000), (5, 30_000)])
