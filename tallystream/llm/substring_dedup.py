@@ -14,6 +14,8 @@ A window is 20 consecutive words of a document; its minimiser is the smallest ha
    meet there, at most one from a slice.
 3. Sorting a bucket's windows counts them exactly (word by word; hashes only order them), and
    all but the first (smallest id, then start) are marked.
+   Rows of one doc value (null ids, a repeated id) may have a window at the same place: in a
+   slice one of them leads and travels, and what is marked in it is marked in those it leads.
 4. Marks meet the texts again, and marked windows' words go.
 
 Words are runs of anything but ASCII white space, unchanged. Windows are judged on the input.
@@ -61,7 +63,7 @@ def window_minimisers(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def repeated_windows(words: list[bytes], at: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Among the windows beginning at ``at`` in ``words``: is it later, in (doc, start), than the
-    first with the same words; and is it one that stands for all with its words."""
+    first with the same words; and which window stands for all with its words."""
     numbers, _ = word_numbers(words)
     rows = numbers.astype(np.int32)[at[:, None] + np.arange(WINDOW)]
     code = np.zeros(len(at), np.uint64)
@@ -80,9 +82,9 @@ def repeated_windows(words: list[bytes], at: np.ndarray, doc: np.ndarray, start:
     d, s = doc[order], start[order]
     later = np.zeros(len(at), bool)
     later[order] = (d != d[first]) | (s != s[first])
-    stands = np.zeros(len(at), bool)
-    stands[order] = opens
-    return later, stands
+    leader = np.empty(len(at), np.int64)
+    leader[order] = order[first]
+    return later, leader
 
 
 def _ranges(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -198,13 +200,14 @@ def repeated_minimisers(keyed: DataFrame) -> DataFrame:
 
 _PARTS = (
     "kind int, doc long, no_id boolean, row long, text binary, n_words long, digest string, bucket long, start long, packed binary,"
-    " first long, stop long"
+    " first long, stop long, led long"
 )
 _ARROW = {
     "kind": pa.int32(), "doc": pa.int64(), "no_id": pa.bool_(), "row": pa.int64(), "text": pa.binary(), "n_words": pa.int64(),
     "digest": pa.string(), "bucket": pa.int64(), "start": pa.int64(), "packed": pa.binary(), "first": pa.int64(), "stop": pa.int64(),
+    "led": pa.int64(),
 }
-UNTOUCHED, TEXT, STRING, MARK = range(4)
+UNTOUCHED, TEXT, STRING, MARK, LED = range(5)
 
 
 def _rows(kind: int, **columns) -> pa.RecordBatch:
@@ -264,8 +267,11 @@ def _split_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(TEXT, doc=part.column(0).take(chosen), no_id=part.column(1).take(chosen), row=part.column(2).take(chosen), text=part.column(3).take(chosen))
         at, owner, start, bucket = (np.concatenate(x) for x in (at, owner, start, bucket))
         docs = np.array(doc, np.int64)
-        later, stands = repeated_windows(words, at, docs[owner], start)
-        yield from _marks(owner, start, later, docs, np.array(row, np.int64))
+        own_rows = np.array(row, np.int64)
+        later, leader = repeated_windows(words, at, docs[owner], start)
+        yield from _marks(owner, start, later, docs, own_rows)
+        yield from _led(owner, start, later, leader, docs, own_rows)
+        stands = leader == np.arange(len(leader))
         # Standing windows that follow each other with one minimiser travel together.
         owner, start, bucket, at = (x[stands] for x in (owner, start, bucket, at))
         opens = np.concatenate([[True], (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1) | (bucket[1:] != bucket[:-1])])
@@ -293,6 +299,18 @@ def _marks(owner: np.ndarray, start: np.ndarray, later: np.ndarray, doc: np.ndar
         yield _rows(MARK, doc=doc[own], row=row[own], first=start[head], stop=start[head] + size)
 
 
+def _led(owner: np.ndarray, start: np.ndarray, later: np.ndarray, leader: np.ndarray, doc: np.ndarray, row: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Ranges of starts of the row ``led`` whose windows another ``row`` of its doc value stands for."""
+    ahead = owner[leader]
+    chosen = ~later & (row[ahead] != row[owner])
+    owner, start, ahead = owner[chosen], start[chosen], ahead[chosen]
+    if len(owner):
+        opens = np.concatenate([[True], (owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1) | (ahead[1:] != ahead[:-1])])
+        head = np.flatnonzero(opens)
+        size = np.diff(np.append(head, len(owner)))
+        yield _rows(LED, doc=doc[owner[head]], row=row[ahead[head]], led=row[owner[head]], first=start[head], stop=start[head] + size)
+
+
 def _singly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The windows of super-k-mers, each for the bucket of its own hash, and marks of those that
     repeat within this slice."""
@@ -394,7 +412,16 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     travelling = bounded(parts.filter(F.col("kind") == STRING), BUCKET_BYTES)
     strings = travelling.filter(F.col("kind") == STRING).select("bucket", "doc", "row", "start", "packed")
     counted = strings.repartition("bucket").sortWithinPartitions("bucket").transform(in_arrow, _count, _PARTS)
-    marks = parts.filter(F.col("kind") == MARK).unionByName(travelling.filter(F.col("kind") == MARK)).unionByName(counted)
+    led = parts.filter(F.col("kind") == LED)
+    met = travelling.filter(F.col("kind") == MARK).unionByName(counted).select("doc", "row", "first", "stop")
+    if not led.isEmpty():
+        met = cut_lineage(met)
+        theirs = led.select("doc", "row", "led", F.col("first").alias("led_first"), F.col("stop").alias("led_stop"))
+        inherited = met.join(theirs, ["doc", "row"]).select(
+            "doc", F.col("led").alias("row"), F.greatest("first", "led_first").alias("first"), F.least("stop", "led_stop").alias("stop")
+        )
+        met = met.unionByName(inherited.filter("first < stop").distinct())
+    marks = parts.filter(F.col("kind") == MARK).select("doc", "row", "first", "stop").unionByName(met)
     marks = marks.groupBy("doc", "row").agg(F.collect_list(F.struct("first", "stop")).alias("marks"))
     texts = parts.filter(F.col("kind") == TEXT).select("doc", "no_id", "row", "text")
     finished = (

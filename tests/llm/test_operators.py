@@ -143,6 +143,21 @@ def test_passages_around_one_short_notice(spark, monkeypatch):
     assert largest[0][0] > limit >= largest[0][1]
 
 
+def test_passages_at_one_place_of_null_and_repeated_ids(spark):
+    head, part = _text(8, 25, 10_000), _text(9, 40, 10_000)
+    rows = [(None, " ".join(head + _text(500 + i, 30, 10_000))) for i in range(12)] + [(7, " ".join(part + _text(600 + i, 30, 10_000))) for i in range(12)]
+    rows += [(1, " ".join(_text(700, 9, 10_000) + head)), (2, " ".join(_text(701, 5, 10_000) + part[8:])), (3, " ".join(_text(702, 30, 10_000)))]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")  # slices of four rows
+    try:
+        for bound in (4_000_000, 100):  # whole buckets, split ones
+            with pytest.MonkeyPatch.context() as patch:
+                patch.setattr(substring_dedup, "BUCKET_BYTES", bound)
+                got = substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+            assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == _without(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_passages_edges(edge, empty):
     got = Counter((r.doc_id, r.n_removed) for r in substring_dedup.without_repeats(edge).collect())
     assert got == Counter([(None, 0), (1, 0), (2, 0), (3, 0), (4, 0), (5, 30_000), (5, 30_000)])
