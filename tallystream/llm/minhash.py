@@ -18,9 +18,10 @@ Words: after lower-casing A-Z, runs of anything but ASCII white space; shingles
 or the whole sequence if there are fewer. Links: 100 * intersection >= 85 * union.
 
 Rows: null or empty texts have an empty set, link with nothing and are kept; a null id takes
-part by its text, gets the smallest id of its component and is not kept unless it stands
-alone; repeated rows (same id and text) are both reported, and ``one_of_each`` leaves one of
-them; ties go to the smallest id; an empty table gives an empty result; other columns are not
+part by its text and gets the smallest id of its component; ``kept`` compares ids, so it holds for
+every row that has that id, and for all rows of a component of null ids. ``one_of_each`` leaves
+exactly one row of a component, that of the smallest (id, text hash), null ids last; repeated rows
+(same id and text) are both reported by ``duplicates``; an empty table gives an empty result; other columns are not
 read, and ``one_of_each`` passes them on.
 """
 
@@ -263,11 +264,21 @@ def _left_over(tables: DataFrame, labels: DataFrame, classes: DataFrame, docs: D
 def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id (the smallest id linked, over any number of
     links) and kept (the row has that id), for every row of ``docs``."""
+    return _judged(docs, doc_id, text).drop("stays")
+
+
+def _judged(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The columns of ``duplicates``, and stays: the row is the one of its component that
+    ``one_of_each`` leaves, or equal to it in id and text."""
     signed = cut_lineage(_signed(docs, doc_id, text))
     classes = cut_lineage(
         signed.groupBy("node", "n_shingles", "bands", "marks")
-        .agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least_id"))
-        .select("node", "n_shingles", "bands", "marks", "least_id", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("rep_hash"))
+        .agg(
+            F.min(F.struct("doc_id", "text_hash")).alias("first"),
+            F.min("doc_id").alias("least_id"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("head"),
+        )
+        .select("node", "n_shingles", "bands", "marks", "least_id", "head", F.col("first.doc_id").alias("rep"), F.col("first.text_hash").alias("rep_hash"))
     )
     tables = _tables(classes)
     stars = tables.filter(F.col("node") != F.col("pivot")).select(F.col("pivot").alias("u"), F.col("node").alias("v")).distinct()
@@ -279,24 +290,30 @@ def duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
 
     # Empty sets are all one class by their hash, but stay apart.
     full = classes.filter(F.col("n_shingles") > 0).join(labels, "node", "left")
-    full = cut_lineage(full.select("node", "least_id", F.coalesce("component", "node").alias("component")))
-    least = full.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = full.join(least, "component").select("node", "component_id")
+    full = cut_lineage(full.select("node", "least_id", "head", F.coalesce("component", "node").alias("component")))
+    least = full.groupBy("component").agg(F.min("least_id").alias("component_id"), F.min("head").alias("head"))
+    named = full.drop("head").join(least, "component").select("node", "component_id", "head")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    is_head = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_hash") == F.col("head.text_hash"))
     return signed.select("doc_id", "text_hash", "n_shingles", "node").join(named, "node", "left").select(
-        "doc_id", "text_hash", "n_shingles", component.alias("component_id"), component.eqNullSafe(F.col("doc_id")).alias("kept")
+        "doc_id",
+        "text_hash",
+        "n_shingles",
+        component.alias("component_id"),
+        component.eqNullSafe(F.col("doc_id")).alias("kept"),
+        F.when(F.col("n_shingles") > 0, is_head).otherwise(True).alias("stays"),
     )
 
 
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay: of each component those with the smallest id, once each.
+    """The rows of ``docs`` that stay: of each component one with the smallest id, and every empty one.
 
     Only rows that go or repeat are looked up; the others pass with all their columns.
     """
-    found = cut_lineage(duplicates(docs, doc_id, text))
+    found = cut_lineage(_judged(docs, doc_id, text))
     odd = (
         found.groupBy(F.col("doc_id").alias("odd_id"), F.col("text_hash").alias("odd_hash"))
-        .agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"))
+        .agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("copies"), F.max("n_shingles").alias("n"))
         .filter(~F.col("stays") | ((F.col("copies") > 1) & (F.col("n") > 0)))
     )
     odd = cut_lineage(odd.select("odd_id", "odd_hash", "stays"))

@@ -88,6 +88,19 @@ def test_minhash_edges(edge, empty):
     assert minhash.duplicates(empty).count() == 0 and minhash.one_of_each(empty).count() == 0
 
 
+def test_one_of_each_leaves_one_row_of_null_and_repeated_ids(spark):
+    base = {k: _text(40 + k, 200, 10_000) for k in range(4)}
+    near = lambda k, i: " ".join([*base[k][:100], f"x{i}", *base[k][101:]])
+    rows = [(None, near(0, i)) for i in range(3)] + [(None, near(0, 0))]  # null ids only
+    rows += [(7, near(1, i)) for i in range(3)] + [(9, near(1, 3))]  # a repeated id
+    rows += [(None, near(2, 0)), (5, near(2, 1)), (None, ""), (None, None), (7, "")]
+    rows += [(8, near(3, 0)), (8, near(3, 0)), (8, near(3, 0).upper())]  # one class, two texts
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = [(r.doc_id, r.text) for r in minhash.one_of_each(docs).collect()]
+    assert Counter(d for d, t in left if t) == Counter([None, 7, 5, 8]) and set(left) <= set(rows)
+    assert Counter((d, t) for d, t in left if not t) == Counter([(None, ""), (None, None), (7, "")])
+
+
 # -- passages -----------------------------------------------------------------------------
 
 
