@@ -37,10 +37,12 @@ def test_scalars(spark):
 
 
 def test_decode_csv(spark):
-    df = spark.createDataFrame([("u1,n,e,p",), ("u1,n,e,p,STUDENT,x",), ("u2,,e,p,",)], "value string")
+    # empty fields at the end are no fields
+    lines = ["u1,n,e,p", "u1,n,e,p,STUDENT,x", "u2,,e,p,", "u2,,e,p,x"]
+    df = spark.createDataFrame([(line,) for line in lines], "value string")
     good, bad = rec.decode_csv(df, "value", rec.USER_FIELDS)
-    assert rows(good) == [("u1", "n", "e", "p", "STUDENT"), ("u2", "", "e", "p", "")]
-    assert rows(bad) == [("u1,n,e,p",)]
+    assert rows(good) == [("u1", "n", "e", "p", "STUDENT"), ("u2", "", "e", "p", "x")]
+    assert rows(bad) == [("u1,n,e,p",), ("u2,,e,p,",)]
     course = spark.createDataFrame([("c1,Maths,7,TRUE",), ("c2,Art,x,no",)], "value string")
     good, _ = rec.decode_csv(course, "value", rec.COURSE_FIELDS, ["string", "string", "int", "boolean"])
     assert rows(good) == [("c1", "Maths", 7, True), ("c2", "Art", None, False)]
