@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tallystream.llm import decontaminate, html_extract, minhash, packing, pii, quality_classifier, quality_rules, sharding, substring_dedup, token_counts
+from tallystream.llm import (
+    decontaminate,
+    hard_negatives,
+    html_extract,
+    minhash,
+    packing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    spelling,
+    substring_dedup,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -192,3 +205,74 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "doc_id", "host", "path", *[F.round(c, 6).alias(c) for c in scored.columns if c.endswith(("_quality", "_toxic"))], "kept"
     )
+
+
+@query(
+    "op11_hard_negatives",
+    """
+    with v as (
+        select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+            list_transform(embedding, lambda x: floor(256 * cast(x as double))) as q
+        from embeddings
+        where vec_id is not null and label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), s as (
+        select a.vec_id as anchor_id, a.label as mine, b.vec_id as other, b.label, cast(list_inner_product(a.q, b.q) as bigint) as score
+        from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+    ), p as (
+        select anchor_id, other as positive_id, score as positive_score from s where label = mine
+        qualify row_number() over (partition by anchor_id order by score desc, other) <= 5
+    )
+    select anchor_id, positive_id, cast(row_number() over (partition by anchor_id, positive_id order by score desc, other) as integer) as rank,
+        other as negative_id, positive_score, score as negative_score
+    from p join s using (anchor_id)
+    where label <> mine and 80 * positive_score <= 100 * score and score <= positive_score
+    qualify rank <= 5
+    """,
+)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op13_spelling_variants",
+    rf"""
+    with recursive crc as (
+        select list(c order by i) as t from (
+            select i, list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) as c
+            from range(256) as r(i)
+        )
+    ), runs as (
+        select doc_id, run, count(*) as n from (
+            select doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) as run from documents
+        ) where len(run) >= 7 group by all
+    ), hashed as (
+        select run, n, xor(list_reduce(
+            list_transform(range(1, octet_length(b) + 1), lambda i: cast(('0x' || hex(b)[2 * i - 1:2 * i]) as bigint)),
+            lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295), 4294967295) as h
+        from (select run, n, encode(coalesce(cast(doc_id as varchar), '') || ':' || run) as b from runs), crc
+    ), words as (
+        select case when h % 31 = 0 then run[1:h % len(run)] || run[h % len(run) + 2:] else run end as word, n from hashed
+    ), vocabulary as (
+        select word, cast(sum(n) as bigint) as n from words where len(word) >= 7 group by word having sum(n) >= 2
+    ), cut as (
+        select word, n, word[1:i] || word[i + 2:] as rest, i from vocabulary, unnest(range(0, len(word))) as u(i)
+        union all select word, n, word, null from vocabulary
+    ), near as (
+        select distinct a.word, a.n, b.word as near, b.n as near_n from cut a join cut b using (rest)
+        where a.word <> b.word and (a.i = b.i or (a.i is null) <> (b.i is null))
+    ), around as (
+        select word, n, count(*) as n_near, arg_min(near, (-near_n, encode(near))) as near, max(near_n) as near_n from near group by word, n
+    ), judged as (
+        select v.word, v.n, coalesce(n_near, 0) as n_near, case when near_n >= 10 * v.n then near end as form,
+            case when near_n >= 10 * v.n then near_n end as form_n
+        from vocabulary v left join around a on a.word = v.word
+    ), way as (
+        select word, word as at from judged
+        union all select way.word, judged.form from way join judged on judged.word = way.at where judged.form is not null
+    ), ends as (select way.word, way.at as root from way join judged on judged.word = way.at where judged.form is null)
+    select word, form, root, n, n_near, form_n from judged join ends using (word)
+    """,
+)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
