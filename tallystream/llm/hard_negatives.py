@@ -134,7 +134,7 @@ class Rows:
         wide = np.fromiter(map(len, stored), np.int64, n) > 2 * dim
         for kind, which in ((np.int16, ~wide), (np.int64, wide)):
             if which.any():
-                vector[which] = np.frombuffer(b"".join([stored[i] for i in np.flatnonzero(which)]), kind).reshape(-1, dim)
+                vector[which] = np.frombuffer(b"".join([stored[i] for i in np.flatnonzero(which)]), kind).reshape(which.sum(), dim)
         floats = lambda name: np.frombuffer(b"".join(column(name).to_pylist()), np.float32).reshape(n, SEGMENTS[-1])
         number = lambda name: column(name).to_numpy(zero_copy_only=False)
         return cls(number("row"), number("vec_id"), number("label"), dim, vector, floats("means"), floats("devs"))

@@ -10,6 +10,7 @@ from tallystream.llm import (
     decontaminate,
     hard_negatives,
     html_extract,
+    license_scan,
     minhash,
     packing,
     pii,
@@ -276,3 +277,18 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+@query("op12_license_scan")
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.filter("licenses", lambda s: s["base"])
+    return license_scan.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s["start"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda s: s["start"])).alias("last_word"),
+        license_scan.labels(base).alias("base_labels"),
+        license_scan.labels(F.col("licenses")).alias("labels"),
+        license_scan.score(F.col("licenses")).alias("score"),
+    )

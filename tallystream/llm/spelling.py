@@ -44,6 +44,7 @@ FORM_RATIO = 10
 DELETED = 31  # one word in so many has a letter deleted
 SYMBOLS = 2
 PARTS = 4  # at most 4: the part is kept in two bits of a key
+LONG = 64
 HELD_WORDS = 200_000
 MATRIX = 1 << 20
 
@@ -167,7 +168,8 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, Reduced]]:
 
 
 def _keyed(words: DataFrame, whole: bool) -> DataFrame:
-    """key, and the row of the word: under its own keys, or under its whole neighbourhood."""
+    """key, id and the row of the word: under its own keys, or under its whole neighbourhood. Words longer
+    than ``LONG`` are named by their id only, so that a word's rows grow as its length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,17 +177,28 @@ def _keyed(words: DataFrame, whole: bool) -> DataFrame:
                 keys = reduced.neighbourhood() if whole else np.sort(reduced.own(), axis=1)
                 new = np.ones(keys.shape, bool)
                 new[:, 1:] = keys[:, 1:] != keys[:, :-1]
-                rows = batch.take(pa.array(np.repeat(places, new.sum(axis=1))))
-                yield pa.RecordBatch.from_arrays([pa.array(keys[new].view(np.int64)), *rows.columns], ["key", *batch.schema.names])
+                where = pa.array(np.repeat(places, new.sum(axis=1)))
+                columns = [c.take(where) for c in batch.columns[1:]]
+                word = batch.column(0).take(where) if reduced.n <= LONG else pa.nulls(len(where), batch.column(0).type)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[new].view(np.int64)), word, *columns], ["key", *batch.schema.names])
 
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in words.schema.fields)
-    return words.transform(in_arrow, run, f"key long, {kinds}")
+    word = words.columns[0]
+    named = words.select(word, F.when(F.length(word) > LONG, F.xxhash64(word)).alias(f"{word}_id"), *words.columns[1:])
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in named.schema.fields)
+    return named.transform(in_arrow, run, f"key long, {kinds}")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """word, near, near_n: every ordered pair of near words of ``words`` (word, n), once."""
     mine = _keyed(words.select("word"), True)
     theirs = _keyed(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), False)
+    met = mine.join(theirs, "key")
+    long = words.select("word").filter(F.length("word") > LONG)
+    pairs = met.filter("word is not null and near is not null").select("key", "word", "near", "near_n")
+    if not long.isEmpty():
+        spelt = lambda c: long.select(F.xxhash64("word").alias(f"{c}_id"), F.col("word").alias(f"{c}_long"))
+        rest = met.filter("word is null or near is null").join(spelt("word"), "word_id", "left").join(spelt("near"), "near_id", "left")
+        pairs = pairs.unionByName(rest.select("key", F.coalesce("word", "word_long").alias("word"), F.coalesce("near", "near_long").alias("near"), "near_n"))
     # a pair counts under the part in which the words first differ
     part = F.lit(0)
     for p in range(1, PARTS):
@@ -193,7 +206,7 @@ def near_pairs(words: DataFrame) -> DataFrame:
         same = F.substring(F.col("word"), F.lit(1), ahead) == F.substring(F.col("near"), F.lit(1), ahead)
         part = F.when(same, p).otherwise(part)
     once = part == F.col("key").bitwiseAND(3)
-    return mine.join(theirs, "key").filter(once & (F.levenshtein("word", "near", 1) == 1)).select("word", "near", "near_n")
+    return pairs.filter(once & (F.levenshtein("word", "near", 1) == 1)).select("word", "near", "near_n")
 
 
 def _roots(forms: DataFrame) -> DataFrame:
