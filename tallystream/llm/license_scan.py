@@ -39,6 +39,7 @@ LEAST = 0.8
 SHORT = 12
 NAMED = 0.5  # score of a document that only names a license
 BROADCAST_SPANS = 200_000
+BATCH_ROWS = 65_536
 
 # Phrases that name a license, by label.
 PHRASES = {
@@ -166,20 +167,23 @@ def _hits(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, a, b in slices(batches, 4, SLICE_BYTES):
             part = batch.slice(a, b - a)
-            counts = []
-            for row, data in zip(part.column(0).to_pylist(), as_bytes(part.column(4))):
+            rows = part.column(0).to_pylist()
+            counts, grams = [], {size: [] for size in sizes}
+            for data in as_bytes(part.column(4)):
                 hashes = word_hashes(words_of(data))
                 counts.append(len(hashes))
                 for size in sizes:
-                    grams = _grams(hashes, size)
-                    if n := len(grams):
-                        columns = [np.full(n, row), np.arange(n), grams]
-                        yield pa.RecordBatch.from_arrays(
-                            [*map(pa.array, columns[:1]), *[pa.nulls(n, c.type) for c in part.columns[1:4]], pa.nulls(n, pa.int64()), *map(pa.array, columns[1:])],
-                            names,
-                        )
-            n = len(counts)
+                    grams[size].append(_grams(hashes, size))
+            n = len(rows)
             yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(counts, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+            for found in grams.values():
+                each = [len(g) for g in found]
+                row, pos, gram = np.repeat(rows, each), np.concatenate([np.arange(k) for k in each]), np.concatenate(found)
+                for at in range(0, len(gram), BATCH_ROWS):
+                    piece = [pa.array(c[at : at + BATCH_ROWS]) for c in (row, pos, gram)]
+                    n = len(piece[0])
+                    none = [pa.nulls(n, c.type) for c in part.columns[1:4]] + [pa.nulls(n, pa.int64())]
+                    yield pa.RecordBatch.from_arrays([piece[0], *none, *piece[1:]], names)
 
     names = ["row", "doc_id", "k1", "k2", "n_words", "pos", "gram"]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), *_key(text), F.col(text).alias("text"))
