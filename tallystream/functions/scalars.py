@@ -63,11 +63,28 @@ def join_fields(*columns: Column | str, sep: str = ",") -> Column:
     return F.concat_ws(sep, *[_col(c).cast("string") for c in columns])
 
 
+def _title_letters() -> dict[str, str]:
+    """Letters whose title case is not their upper case: digraphs (the first part is raised), and
+    letters without a single upper case letter, which stay unless they have a title case."""
+    letters = [c for c in map(chr, range(1 << 16)) if c.isalpha()]
+    odd = [c for c in letters if len(c.upper()) > 1 or c.title() != c.upper()]
+    return {c: c.title() if len(c.title()) == 1 else c for c in odd}
+
+
+_TITLES = _title_letters()
+
+
 def title_case(text: Column | str) -> Column:
-    """First letter of every word in upper case; the rest of the word stays as it is."""
+    """First letter of every word in title case; the rest of the word stays as it is."""
     words = F.split(_col(text), r"\s", -1)
-    raised = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substring(w, 2, 2**31 - 1)))
-    return F.trim(F.array_join(raised, " "))
+    odd, titles = "".join(_TITLES), "".join(_TITLES.values())
+
+    def raised(word: Column) -> Column:
+        first = F.substring(word, 1, 1)
+        title = F.when(F.contains(F.lit(odd), first), F.translate(first, odd, titles)).otherwise(F.upper(first))
+        return F.concat(title, F.substring(word, 2, 2**31 - 1))
+
+    return F.trim(F.array_join(F.transform(words, raised), " "))
 
 
 def parse_bool(text: Column | str) -> Column:

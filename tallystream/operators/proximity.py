@@ -138,7 +138,8 @@ def larger_neighbours(df: DataFrame, d: float) -> DataFrame:
 
 
 def dominant_match(pairs: DataFrame) -> DataFrame:
-    """Per prey the largest eater, ties to the smallest id. Combines before the shuffle."""
+    """Per prey the largest eater, ties to the smallest id, of pairs that are at hand; ``dominant_neighbours``
+    needs no pairs."""
     return (
         pairs.groupBy("prey")
         .agg(F.max(F.struct(F.col("eater_size"), (-F.col("eater")).alias("neg"))).alias("best"))

@@ -439,7 +439,10 @@ def _life_state(spark, d):
     return courses, enrolled, cut_lineage(lg.projects(_ranked(t.project_log(spark, d)), courses, t.PROJECT_ORDER))
 
 
-@query("reborn_enrolments", _sql(NOW_SQL, "select student, split_part(course, '#', 1) as course, since from enrol"))
+REBORN_ENROLMENTS_SQL = _sql(NOW_SQL, "select student, split_part(course, '#', 1) as course, since from enrol")
+
+
+@query("reborn_enrolments", REBORN_ENROLMENTS_SQL)
 def reborn_enrolments(spark, d):
     enrolled = lg.enrolments(_ranked(t.enrol_log(spark, d)), t.users(spark, d), _life_courses(spark, d))
     return enrolled.select("student", "course", "since")
@@ -451,13 +454,13 @@ def reborn_projects(spark, d):
     return out.select("course", "project", "seq", "prof_id")
 
 
-@query(
-    "reborn_grade_state",
-    _sql(
-        NOW_SQL + VOTE_SQL.removeprefix(BASE_SQL).replace("{pick}", "max"),
-        "select student, split_part(course, '#', 1) as course, project, vote from votes",
-    ),
+REBORN_GRADES_SQL = _sql(
+    NOW_SQL + VOTE_SQL.removeprefix(BASE_SQL).replace("{pick}", "max"),
+    "select student, split_part(course, '#', 1) as course, project, vote from votes",
 )
+
+
+@query("reborn_grade_state", REBORN_GRADES_SQL)
 def reborn_grade_state(spark, d):
     courses, enrolled, projects = _life_state(spark, d)
     known = projects.select("course", "project", F.col("seq").alias("open_from"))
@@ -465,13 +468,17 @@ def reborn_grade_state(spark, d):
     return lg.grade_state(events.filter(F.col("seq") >= F.col("open_from")), lg.grade_cells(enrolled, projects), t.WORK_ORDER)
 
 
-@query(
-    "reborn_completions",
-    _sql(
-        EVER_SQL + DONE_SQL.removeprefix(BASE_SQL),
-        "select student, split_part(course, '#', 1) as course, min(done_at) as done_at from done group by 1, 2",
-    ),
+REBORN_HISTORY_SQL = _sql(
+    EVER_SQL + HISTORY_SQL.removeprefix(BASE_SQL),
+    "select student, split_part(course, '#', 1) as course, project, seq, type, old_vote, new_vote from hist",
 )
+REBORN_COMPLETIONS_SQL = _sql(
+    EVER_SQL + DONE_SQL.removeprefix(BASE_SQL),
+    "select student, split_part(course, '#', 1) as course, min(done_at) as done_at from done group by 1, 2",
+)
+
+
+@query("reborn_completions", REBORN_COMPLETIONS_SQL)
 def reborn_completions(spark, d):
     """Passes count within one incarnation; a completion outlives it."""
     life = t.course_life(spark, d).withColumnRenamed("course_id", "course")

@@ -8,9 +8,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tallystream.functions.scalars import NOT_SUBMITTED, classify_role
 from tallystream.operators import ledger as lg
+from tallystream.operators.ordered import number_rows
+from tallystream.operators.sizing import broadcast_if_small
 from tallystream.plans import tables as t
-from tallystream.plans.ledger import OFFER_SQL, ROLE_SQL, ULOG_SQL
+from tallystream.plans.ledger import (
+    OFFER_SQL,
+    REBORN_COMPLETIONS_SQL,
+    REBORN_ENROLMENTS_SQL,
+    REBORN_GRADES_SQL,
+    REBORN_HISTORY_SQL,
+    ROLE_SQL,
+    ULOG_SQL,
+)
 from tallystream.plans.registry import query, six
 from tallystream.plans.sensors import CONFIG_SQL, N_SQL, _frames, config
 from tallystream.plans.trends import DAILY_SQL
@@ -19,9 +30,13 @@ from tallystream.sources import records as rec
 from tallystream.streaming import countwindow as scw
 from tallystream.streaming import events as sev
 from tallystream.streaming import run as srun
+from tallystream.streaming import state as sst
 from tallystream.streaming import trends as strd
 
 
+FILE_ROWS = 1_000_000
+
+
 def _session(spark: SparkSession) -> SparkSession:
     own = spark.newSession()
     own.conf.set("spark.sql.session.timeZone", "UTC")
@@ -124,6 +139,23 @@ def stateful_count_window(spark, d):
     return _unzoned(out, "ts").withColumn("value", six("value"))
 
 
+def _numbered_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Readings that carry their number within their key, in several files and micro-batches."""
+    readings = _zoned(t.readings(spark, d)).select("key", "seq", "value", "ts")
+    folder = fresh_dir(spark, "numbered")
+    number_rows(readings, "key", "seq", "n").repartition(4, "seq").write.parquet(folder)
+    schema = spark.read.parquet(folder).schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(folder)
+
+
+@query("numbered_count_window", AVERAGE_SQL)
+def numbered_count_window(spark, d):
+    """Readings that are numbered by their source; a busy key uses many tasks."""
+    own = _session(spark)
+    out = _drain(scw.stream_count_window(_numbered_stream(own, d), "key", "n", "value", 10, 5, dense=True), "count")
+    return _unzoned(out, "ts").withColumn("value", six("value"))
+
+
 @query(
     "streaming_lanes",
     """with n as (select event_type as key, (event_id % 4)::int as lane, value, row_number() over
@@ -137,8 +169,7 @@ def streaming_lanes(spark, d):
     return _drain(out, "lanes").select("key", "lane", "k", "value")
 
 
-@query(
-    "streaming_by_config",
+BY_CONFIG_SQL = (
     N_SQL.replace("with n", f"with {CONFIG_SQL}, n")
     + """, w as (select n.*, window_size, slide, fn,
          avg(value) over (partition by n.key order by rn rows between 9 preceding and current row) as a10,
@@ -148,14 +179,24 @@ def streaming_lanes(spark, d):
          from n join c on n.key = c.key)
       select key, ((rn - window_size + 1) // slide)::bigint as k, fn,
         round(case fn when 'average' then a10 when 'sum' then s10 when 'max' then x10 else n12 end + 1e-9, 6) as value
-      from w where rn >= window_size - 1 and (rn - window_size + 1) % slide = 0""",
+      from w where rn >= window_size - 1 and (rn - window_size + 1) % slide = 0"""
 )
+
+
+@query("streaming_by_config", BY_CONFIG_SQL)
 def streaming_by_config(spark, d):
     own = _session(spark)
     out = scw.stream_count_window_by_config(_reading_stream(own, d), config(own), "key", "seq", "value")
     return _drain(out, "config").withColumn("value", six("value"))
 
 
+@query("numbered_by_config", BY_CONFIG_SQL)
+def numbered_by_config(spark, d):
+    own = _session(spark)
+    out = scw.stream_count_window_by_config(_numbered_stream(own, d), config(own), "key", "n", "value", dense=True)
+    return _drain(out, "config").withColumn("value", six("value"))
+
+
 # -- events ---------------------------------------------------------------------------
 
 
@@ -186,34 +227,41 @@ def stream_stream_wait(spark, d):
     return _drain(out.select("event_id", "ref_id"), "wait")
 
 
-def _staged_in_order(df: DataFrame, time: str, label: str, parts: int = 3) -> str:
-    """A log written as consecutive time ranges, so that a file stream meets them in order."""
-    df = cut_lineage(df)
-    folder = fresh_dir(df.sparkSession, label)
-    cuts = df.agg(F.percentile_approx(time, [i / parts for i in range(1, parts)], 1000)).first()[0]
-    lower = None
-    for upper in [*cuts, None]:
-        part = df
-        if lower is not None:
-            part = part.filter(F.col(time) > lower)
-        if upper is not None:
-            part = part.filter(F.col(time) <= upper)
-        part.coalesce(1).write.mode("append").parquet(folder)
-        lower = upper
-    return folder
+# -- state tables -----------------------------------------------------------------------
+
+
+def _in_parts(log: DataFrame, parts: int = 3) -> list[DataFrame]:
+    """A log as consecutive ranges of ``seq``."""
+    log = cut_lineage(log)
+    cuts = log.agg(F.percentile_approx("seq", [i / parts for i in range(1, parts)], 1000)).first()[0]
+    edges = [None, *cuts, None]
+    after = lambda c: F.lit(True) if c is None else F.col("seq") > c
+    until = lambda c: F.lit(True) if c is None else F.col("seq") <= c
+    return [log.filter(after(a) & until(b)) for a, b in zip(edges, edges[1:])]
+
 
+def _kept(log: DataFrame, run) -> str:
+    """The log comes in part by part; ``run(stream, path, checkpoint)`` is started anew for each of
+    them and goes on from its checkpoint. Returns the path of what it keeps."""
+    spark = log.sparkSession
+    folder, path, checkpoint = (fresh_dir(spark, f"state-{n}") for n in ("log", "tables", "checkpoint"))
+    for part in _in_parts(log):
+        part.write.mode("append").parquet(folder)
+        run(spark.readStream.schema(log.schema).parquet(folder), path, checkpoint)
+    return path
 
-def _maintain(spark: SparkSession, log: DataFrame, names: list[str], order: list[str]) -> dict[str, DataFrame]:
-    folder = _staged_in_order(log, "seq", "state-log")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(folder)
-    path = fresh_dir(spark, "state")
-    done = sev.maintain_tables(stream, path, fresh_dir(spark, "state-checkpoint"), names, order, buckets=8)
-    last = done.lastProgress["batchId"]
-    return {name: sev.read_state(spark, path, name, last) for name in names}
 
+def _user_table(spark: SparkSession, log: DataFrame) -> DataFrame:
+    users = log.select("user_id", "seq", "tie", "name", "email", "role")
+    path = _kept(users, lambda stream, *to: sst.maintain_latest(stream, ["user_id"], ["seq", "tie"], *to))
+    return sst.latest(spark, path, ["user_id"]).withColumn("role", classify_role("role"))
 
-def _maintained(spark: SparkSession, log: DataFrame, name: str, order: list[str]) -> DataFrame:
-    return _maintain(spark, log, [name], order)[name]
+
+def _course_table(spark: SparkSession, log: DataFrame) -> DataFrame:
+    events = log.filter(F.col("type").isin("CREATE", "DELETE")).withColumnRenamed("course_id", "course")
+    none = {c: F.lit(None).cast(kind) for c, kind in (("student", "bigint"), ("project", "string"), ("grade", "int"))}
+    path = _kept(events.withColumns(none), lambda stream, *to: sst.maintain_tables(stream, *to, t.OFFER_ORDER, salts=1))  # no students here
+    return sst.courses(spark, path, ["name", "admin_id"])
 
 
 @query(
@@ -222,18 +270,13 @@ def _maintained(spark: SparkSession, log: DataFrame, name: str, order: list[str]
         union all select 'courses', course_id, name, is_deleted from ostate""",
 )
 def streaming_state_tables(spark, d):
-    """Users and courses kept from one log."""
+    """Users and courses, each kept from its log."""
     own = _session(spark)
-    log = lg.union_logs(t.offer_log(own, d), t.user_log(own, d).withColumn("type", F.lit("USER")))
-    state = _maintain(own, log, ["users", "courses"], [*t.OFFER_ORDER, "tie"])
-    users = state["users"].select(
+    users = _user_table(own, t.user_log(own, d)).select(
         F.lit("users").alias("tbl"), F.col("user_id").alias("id"), "name", (F.col("role") == "STUDENT").alias("flag")
     )
-    return users.unionByName(
-        state["courses"].select(
-            F.lit("courses").alias("tbl"), F.col("course_id").alias("id"), "name", F.col("is_deleted").alias("flag")
-        )
-    )
+    courses = _course_table(own, t.offer_log(own, d))
+    return users.unionByName(courses.select(F.lit("courses").alias("tbl"), F.col("course").alias("id"), "name", F.col("is_deleted").alias("flag")))
 
 
 @query(
@@ -243,14 +286,13 @@ def streaming_state_tables(spark, d):
 )
 def streaming_course_state(spark, d):
     own = _session(spark)
-    return _maintained(own, t.offer_log(own, d), "courses", t.OFFER_ORDER)
+    return _course_table(own, t.offer_log(own, d)).withColumnRenamed("course", "course_id")
 
 
 @query("streaming_user_state", f"with {ULOG_SQL} select user_id, name, email, role from ustate")
 def streaming_user_state(spark, d):
     own = _session(spark)
-    log = t.user_log(own, d).withColumn("type", F.lit("USER"))
-    return _maintained(own, log, "users", ["seq", "tie"])
+    return _user_table(own, t.user_log(own, d)).select("user_id", "name", "email", "role")
 
 
 @query(
@@ -266,8 +308,17 @@ def streaming_user_state(spark, d):
        left join sb using (student, course, project) left join rt using (student, course, project)""",
 )
 def streaming_vote_state(spark, d):
+    """Votes of one course object each, whatever becomes of the course."""
     own = _session(spark)
-    return _maintained(own, t.work_log(own, d), "votes", t.WORK_ORDER)
+    log = t.work_log(own, d)
+
+    def run(stream, path, checkpoint):
+        changes = sst.fold_cells(stream, t.WORK_ORDER)
+        srun.run_stream(changes, f"{path}/tables", checkpoint, partition_by=["table"])
+
+    voted = sst.votes(sst.read_changes(own, _kept(log, run), "history")).drop("incarnation")
+    cells = log.select(*lg.CELL).distinct()
+    return cells.join(voted, lg.CELL, "left").fillna(NOT_SUBMITTED, ["vote"])
 
 
 @query(
@@ -277,7 +328,60 @@ def streaming_vote_state(spark, d):
 )
 def streaming_enrolment_state(spark, d):
     own = _session(spark)
-    return _maintained(own, t.enrol_log(own, d), "enrolments", ["seq"])
+    key = ["student", "course"]
+    log = t.enrol_log(own, d).select(F.col("user_id").alias("student"), F.col("course_id").alias("course"), "seq")
+    path = _kept(log, lambda stream, *to: sst.maintain_least(stream, key, "seq", *to))
+    return sst.least(own, path, key, "seq").withColumnRenamed("seq", "since")
+
+
+def _campus(spark: SparkSession, d: str) -> str:
+    """Courses that are deleted and made anew, with all that happens in them."""
+    return _kept(t.campus_log(spark, d), lambda stream, *to: sst.maintain_tables(stream, *to, t.CAMPUS_ORDER, salts=8))
+
+
+def _enrolled(spark: SparkSession, d: str, path: str) -> DataFrame:
+    students = t.users(spark, d).filter("role = 'STUDENT'").select(F.col("user_id").alias("student"))
+    return sst.read_changes(spark, path, "enrolments").join(students, "student", "left_semi").select("student", "course", "incarnation", F.col("seq").alias("since"))
+
+
+@query("streaming_reborn_enrolments", REBORN_ENROLMENTS_SQL)
+def streaming_reborn_enrolments(spark, d):
+    own = _session(spark)
+    path = _campus(own, d)
+    return sst.of_open_courses(_enrolled(own, d, path), sst.courses(own, path)).select("student", "course", "since")
+
+
+@query("streaming_reborn_grades", REBORN_GRADES_SQL)
+def streaming_reborn_grades(spark, d):
+    """A cell for each enrolment and project of the courses as they are now."""
+    own = _session(spark)
+    path = _campus(own, d)
+    now = sst.courses(own, path)
+    enrolled = sst.of_open_courses(_enrolled(own, d, path), now).select("student", "course", "incarnation")
+    projects = sst.of_open_courses(sst.read_changes(own, path, "projects"), now).select("course", "incarnation", "project")
+    voted = sst.votes(sst.read_changes(own, path, "history"))
+    cells = enrolled.join(broadcast_if_small(projects), ["course", "incarnation"])
+    return cells.join(voted, [*lg.CELL, "incarnation"], "left").fillna(NOT_SUBMITTED, ["vote"]).select(*lg.CELL, "vote")
+
+
+@query("streaming_grade_history", REBORN_HISTORY_SQL)
+def streaming_grade_history(spark, d):
+    """Every change of a cell, in all incarnations of its course."""
+    own = _session(spark)
+    path = _campus(own, d)
+    changes = sst.read_changes(own, path, "history")
+    return changes.join(_enrolled(own, d, path), ["student", "course", "incarnation"], "left_semi").select(
+        *lg.CELL, "seq", "type", "old_vote", "new_vote"
+    )
+
+
+@query("streaming_completions", REBORN_COMPLETIONS_SQL)
+def streaming_completions(spark, d):
+    """Recorded when the last needed rating comes in; they outlive their incarnation."""
+    own = _session(spark)
+    path = _campus(own, d)
+    done = sst.read_changes(own, path, "completions").join(_enrolled(own, d, path), ["student", "course", "incarnation"], "left_semi")
+    return done.groupBy("student", "course").agg(F.min("seq").alias("done_at"))
 
 
 # -- sources and sinks ----------------------------------------------------------------
@@ -446,15 +550,27 @@ def idle_stop(spark, d):
     return own.read.schema(rows.schema).parquet(out)
 
 
-@query("replay_from_earliest", "select event_type as key, event_id as seq, value from events")
+@query("replay_from_earliest", "select event_id, user_id, event_type from events")
 def replay_from_earliest(spark, d):
-    """Two runs on one checkpoint: the second finds nothing left to do."""
+    """Every event arrives twice, in three micro-batches. The second one fails after its rows are
+    written; the query is taken up from its checkpoint, with the events it remembers."""
     own = _session(spark)
-    rows = _reading_stream(own, d).select("key", "seq", "value")
-    out, checkpoint = fresh_dir(own, "replay-out"), fresh_dir(own, "replay-checkpoint")
-    srun.run_stream(rows, out, checkpoint)
-    srun.run_stream(rows, out, checkpoint)
-    return own.read.schema(rows.schema).parquet(out)
+    events = _zoned(t.table(own, d, "events").select("event_id", "ts", "user_id", "event_type")).withColumn("seq", F.col("event_id"))
+    out, folder, checkpoint = (fresh_dir(own, f"replay-{n}") for n in ("out", "log", "checkpoint"))
+    failed: list[int] = []
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        srun.write_batch_once(batch, batch_id, out)
+        if batch_id > 0 and not failed and not batch.isEmpty():
+            failed.append(batch_id)
+            raise RuntimeError("lost inside the micro-batch")
+
+    for part in _in_parts(events):
+        part.write.mode("append").parquet(folder)
+        once = own.readStream.schema(events.schema).parquet(folder)
+        once = sev.stream_dedup(once.unionByName(once), ["event_id"], "ts", "1 day")
+        srun.resume(lambda: srun.run_batches(once, step, checkpoint))  # noqa: B023
+    return own.read.parquet(out).select("event_id", "user_id", "event_type")
 
 
 @query("write_batch_once", "select event_type as key, event_id as seq, value from events")
@@ -472,6 +588,25 @@ def write_batch_once(spark, d):
     return own.read.parquet(out).drop("batch")
 
 
+@query(
+    "write_tables_once",
+    """select 'reading' as tbl, event_id as seq, value from events
+       union all select 'alarm', event_id, null from events where value > 90""",
+)
+def write_tables_once(spark, d):
+    """A reading and the alarm it raises become visible together."""
+    own = _session(spark)
+    out = fresh_dir(own, "tables-out")
+    rows = _reading_stream(own, d).select("seq", "value")
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        srun.write_tables_once({"reading": batch, "alarm": batch.filter("value > 90").select("seq")}, batch_id, out)
+
+    srun.run_batches(rows, both, fresh_dir(own, "tables-checkpoint"))
+    reading, alarm = (srun.read_table(own, out, name).withColumn("tbl", F.lit(name)) for name in ("reading", "alarm"))
+    return reading.unionByName(alarm).select("tbl", "seq", "value")
+
+
 @query(
     "late_row_report",
     """select count(*) filter (ts <= date_trunc('milliseconds', edge) - interval 1 day)::bigint as dropped,
@@ -483,9 +618,10 @@ def late_row_report(spark, d):
     own = _session(spark)
     folder = fresh_dir(own, "late-log")
     events = t.table(own, d, "events").select("event_id", "ts")
+    files = max(1, -(-events.count() // FILE_ROWS))  # a copy each time
     for _ in range(3):
-        events.coalesce(1).write.mode("append").parquet(folder)
-    stream = _zoned(own.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(folder))
+        events.repartition(files, "event_id").write.mode("append").parquet(folder)
+    stream = _zoned(own.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(folder))
     once = sev.stream_dedup(stream, ["event_id"], "ts", "1 day")
     late = srun.LateRows()
     own.streams.addListener(late)

@@ -169,3 +169,21 @@ def project_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PROJECT_ORDER = ["seq", "prof_id"]
+
+
+def campus_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of the campus in one order: turns of courses, projects, enrolments, work."""
+
+    def part(log: DataFrame, kind: str | None, rank, turn: int) -> DataFrame:
+        return log.withColumns({"type": F.lit(kind) if kind else F.col("type"), "rank": rank, "turn": F.lit(turn)})
+
+    turns = course_life(spark, sf_dir).withColumnRenamed("course_id", "course")
+    made = project_log(spark, sf_dir)
+    joined = enrol_log(spark, sf_dir).select(F.col("user_id").alias("student"), F.col("course_id").alias("course"), "seq").distinct()
+    log = part(turns, None, F.col("rank"), 0)
+    for other in (part(made, "PROJECT", F.lit(0), 1), part(joined, "ENROLL", F.lit(0), 2), part(work_log(spark, sf_dir), None, F.col("rank"), 3)):
+        log = log.unionByName(other, allowMissingColumns=True)
+    return log.select("type", "course", "student", "project", *CAMPUS_ORDER)
+
+
+CAMPUS_ORDER = ["seq", "rank", "turn", "grade", "prof_id"]

@@ -76,10 +76,11 @@ def read_event_log(spark: SparkSession, path: str | None, streaming: bool = Fals
 def decode_csv(
     df: DataFrame, column: str, names: Sequence[str], types: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(good, quarantined): positional fields as columns, and the records with too few.
+    """(good, quarantined): positional fields as columns, and the records with too few of them or
+    with a text that is not of its type.
 
-    Extra fields are ignored, and empty ones at the end do not count. ``types`` names Spark types; 'boolean' follows ``parse_bool``,
-    and a text that is not of its type becomes null.
+    Extra fields are ignored, and empty ones at the end do not count. ``types`` names Spark types;
+    'boolean' follows ``parse_bool``, which takes any text.
     """
     types = types or ["string"] * len(names)
     enough = F.size(F.split(F.regexp_replace(column, ",+$", ""), ",", -1)) >= len(names)
@@ -87,6 +88,7 @@ def decode_csv(
     fields = []
     for raw, name, kind in zip(split_fields(column, names), names, types, strict=True):
         typed = parse_bool(raw) if kind == "boolean" else raw.try_cast(kind)
+        whole = whole & typed.isNotNull()
         fields.append(typed.alias(name))
     others = [c for c in df.columns if c != column]
     return df.filter(whole).select(*others, *fields), df.filter(~whole)

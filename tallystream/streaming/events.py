@@ -1,18 +1,10 @@
-"""Event logs on a stream: duplicates, waiting for references, and state kept current."""
+"""Event logs on a stream: duplicates, and waiting for references."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
-
-from tallystream.functions.scalars import NOT_SUBMITTED, SUBMITTED, classify_role
-from tallystream.operators.ledger import CELL, grade_state
-from tallystream.operators.ordered import latest_per_key
-from tallystream.streaming.run import run_batches
-
-BUCKETS = 64
+from pyspark.sql import DataFrame, functions as F
 
 
 def stream_dedup(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
@@ -43,150 +35,3 @@ def stream_await_join(
     for c in on:
         match = match & (F.col(c) == F.col(f"__{c}"))
     return facts.withWatermark(fact_ts, delay).join(renamed, match, how).drop(*[f"__{c}" for c in on])
-
-
-# -- state tables ---------------------------------------------------------------------
-# A table is a set of buckets (hash of its key). Version n of a bucket lies under
-# <table>/v=n; <table>/index/v=n names the newest version of every bucket after
-# micro-batch n. A micro-batch reads and rewrites only the buckets its keys fall into, and
-# a replayed one starts again from index n-1, so it leaves the same tables behind.
-
-
-def _merge_users(old: DataFrame | None, log: DataFrame, order: Sequence[str]) -> DataFrame:
-    new = latest_per_key(log.select("user_id", "name", "email", "role", *order), "user_id", order).select(
-        "user_id", "name", "email", classify_role("role").alias("role")
-    )
-    return new if old is None else new.unionByName(old.join(new, "user_id", "left_anti"))
-
-
-def _merge_courses(old: DataFrame | None, log: DataFrame, order: Sequence[str]) -> DataFrame:
-    at, created = F.struct(*order), F.col("type") == "CREATE"
-    new = log.groupBy("course_id").agg(
-        F.max(F.when(created, F.struct(at.alias("at"), "name", "admin_id"))).alias("made"),
-        F.max(F.when(F.col("type") == "DELETE", at)).alias("gone"),
-        F.count_if(created).alias("made_n"),
-    )
-    if old is None:
-        empty = log.select(
-            "course_id", F.lit(None).cast("string").alias("name"), F.col("admin_id"),
-            F.lit(False).alias("is_deleted"), F.lit(0).cast("bigint").alias("incarnation"),
-        )
-        old = empty.limit(0)
-    both = new.join(old, "course_id", "full")
-    fresh = F.col("made").isNotNull()
-    return both.select(
-        "course_id",
-        F.when(fresh, F.col("made.name")).otherwise(F.col("name")).alias("name"),
-        F.when(fresh, F.col("made.admin_id")).otherwise(F.col("admin_id")).alias("admin_id"),
-        F.when(fresh, F.coalesce(F.col("gone") > F.col("made.at"), F.lit(False)))
-        .otherwise(F.col("is_deleted") | F.col("gone").isNotNull())
-        .alias("is_deleted"),
-        (F.coalesce("incarnation", F.lit(0)) + F.coalesce("made_n", F.lit(0))).cast("bigint").alias("incarnation"),
-    ).filter(F.col("incarnation") > 0)
-
-
-def _merge_enrolments(old: DataFrame | None, log: DataFrame, order: Sequence[str]) -> DataFrame:
-    new = log.select(F.col("user_id").alias("student"), F.col("course_id").alias("course"), F.col("seq").alias("since"))
-    both = new if old is None else new.unionByName(old)
-    return both.groupBy("student", "course").agg(F.min("since").alias("since"))
-
-
-def _merge_votes(old: DataFrame | None, log: DataFrame, order: Sequence[str]) -> DataFrame:
-    cells = log.select(*CELL).distinct()
-    handed_in = log.filter(F.col("type") == "SUBMIT").select(*CELL).distinct().withColumn("__again", F.lit(True))
-    folded = grade_state(log, cells, order).withColumnRenamed("vote", "__new")
-    first_rate = (
-        log.filter(F.col("type") == "RATE").groupBy(*CELL).agg(F.min_by("grade", F.struct(*order)).alias("__rate"))
-    )
-    now = folded.join(handed_in, CELL, "left").join(first_rate, CELL, "left")
-    if old is None:
-        old = cells.withColumn("vote", F.lit(NOT_SUBMITTED)).limit(0)
-    vote = (
-        F.when(F.col("__again"), F.col("__new"))
-        .when((F.col("vote") == SUBMITTED) & F.col("__rate").isNotNull(), F.col("__rate"))
-        .otherwise(F.coalesce("vote", F.lit(NOT_SUBMITTED)))
-    )
-    return now.join(old, CELL, "full").select(*CELL, vote.cast("int").alias("vote"))
-
-
-Merge = Callable[[DataFrame | None, DataFrame, Sequence[str]], DataFrame]
-
-# table: (key columns in the log, key columns in the table, event types, merge)
-TABLES: dict[str, tuple[list[str], list[str], list[str] | None, Merge]] = {
-    "users": (["user_id"], ["user_id"], ["USER"], _merge_users),
-    "courses": (["course_id"], ["course_id"], ["CREATE", "DELETE"], _merge_courses),
-    "enrolments": (["user_id", "course_id"], ["student", "course"], ["ENROLL"], _merge_enrolments),
-    "votes": (CELL, CELL, ["SUBMIT", "RATE"], _merge_votes),
-}
-
-
-def _index(spark: SparkSession, path: str, version: int) -> dict[int, int]:
-    if version < 0:
-        return {}
-    rows = spark.read.parquet(f"{path}/index/v={version}").collect()  # at most one per bucket
-    return {r["bucket"]: r["version"] for r in rows}
-
-
-def _read_buckets(spark: SparkSession, path: str, index: dict[int, int]) -> DataFrame | None:
-    if not index:
-        return None
-    places = [f"{path}/v={v}/bucket={b}" for b, v in sorted(index.items())]
-    return spark.read.parquet(*places)
-
-
-def _apply(log: DataFrame, batch_id: int, path: str, name: str, order: Sequence[str], buckets: int) -> None:
-    spark = log.sparkSession
-    in_log, in_table, kinds, merge = TABLES[name]
-    index = _index(spark, f"{path}/{name}", batch_id - 1)
-    mine = log.filter(F.col("type").isin(kinds))
-    place = F.pmod(F.xxhash64(*in_log), F.lit(buckets)).cast("int")
-    touched = {r[0] for r in mine.select(place).distinct().collect()}  # at most one per bucket
-    if touched:
-        old = _read_buckets(spark, f"{path}/{name}", {b: v for b, v in index.items() if b in touched})
-        merged = merge(old, mine, order)
-        again = F.pmod(F.xxhash64(*in_table), F.lit(buckets)).cast("int")
-        (
-            merged.withColumn("bucket", again)
-            .repartition(F.col("bucket"))
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(f"{path}/{name}/v={batch_id}")
-        )
-        # a bucket whose keys leave no row has nothing to read
-        written = {r[0] for r in spark.read.parquet(f"{path}/{name}/v={batch_id}").select("bucket").distinct().collect()}
-        index = {**{b: v for b, v in index.items() if b not in touched}, **{b: batch_id for b in written}}
-    spark.createDataFrame(sorted(index.items()), "bucket int, version int").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/{name}/index/v={batch_id}")
-
-
-def maintain_tables(
-    log: DataFrame,
-    path: str,
-    checkpoint: str,
-    tables: Sequence[str] = tuple(TABLES),
-    order: Sequence[str] = ("seq",),
-    buckets: int = BUCKETS,
-    available_now: bool = True,
-) -> StreamingQuery:
-    """Fold a log stream into state tables under ``path``.
-
-    Log: type, the columns of ``order``, and the columns the chosen tables need (users:
-    user_id, name, email, role with type USER; courses: course_id, name, admin_id;
-    enrolments: user_id, course_id, seq; votes: student, course, project, grade). Inside a
-    micro-batch ``order`` counts, across micro-batches the order of arrival.
-    """
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        kept = f"{path}/log/batch={batch_id}"
-        batch.write.mode("overwrite").parquet(kept)
-        stored = batch.sparkSession.read.schema(batch.schema).parquet(kept)
-        for name in tables:
-            _apply(stored, batch_id, path, name, order, buckets)
-
-    return run_batches(log, step, checkpoint, available_now)
-
-
-def read_state(spark: SparkSession, path: str, name: str, batch_id: int) -> DataFrame | None:
-    """A state table as it was after micro-batch ``batch_id``; None if it has no rows."""
-    return _read_buckets(spark, f"{path}/{name}", _index(spark, f"{path}/{name}", batch_id))

@@ -5,9 +5,10 @@ from __future__ import annotations
 import threading
 import time
 from collections import defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 # How often the file sink flushes and when an idle job ends.
@@ -49,6 +50,7 @@ def run_stream(
     available_now: bool = True,
     fmt: str = "parquet",
     mode: str = "append",
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Write to files from the earliest input on; the checkpoint remembers what is done.
 
@@ -60,6 +62,8 @@ def run_stream(
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if not available_now:
         return writer.start()
     query = writer.trigger(availableNow=True).start()
@@ -73,10 +77,39 @@ def write_batch_once(df: DataFrame, batch_id: int, path: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def write_tables_once(tables: Mapping[str, DataFrame], batch_id: int, path: str) -> None:
+    """Write what one micro-batch adds to several tables, as one write with a partition for each.
+
+    Its files appear when the write is committed: a failure before that leaves none of the
+    tables behind, and a replay overwrites all of them.
+    """
+    whole = None
+    for name, rows in tables.items():
+        rows = rows.withColumn("table", F.lit(name))
+        whole = rows if whole is None else whole.unionByName(rows, allowMissingColumns=True)
+    whole.write.mode("overwrite").partitionBy("table").parquet(f"{path}/batch={batch_id}")
+
+
+def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of ``write_tables_once``, over all micro-batches."""
+    return spark.read.parquet(path).filter(F.col("table") == name).drop("table", "batch")
+
+
+def resume(start: Callable[[], StreamingQuery], attempts: int = 3) -> StreamingQuery:
+    """Run a query to its end; one that fails is started again and goes on from its checkpoint."""
+    for left in range(attempts - 1, -1, -1):
+        try:
+            return start()
+        except StreamingQueryException:
+            if not left:
+                raise
+    raise ValueError("attempts must be at least 1")
+
+
 def run_batches(
-    df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True
+    df: DataFrame, step: Callable[[DataFrame, int], None], checkpoint: str, available_now: bool = True, mode: str = "append"
 ) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    writer = df.writeStream.foreachBatch(step).outputMode(mode).option("checkpointLocation", checkpoint)
     if not available_now:
         return writer.start()
     query = writer.trigger(availableNow=True).start()

@@ -125,3 +125,31 @@ def test_stream_equals_batch_over_files_and_restart(spark):
     got = spark.read.parquet(out).select("key", "k", "value", F.unix_seconds("ts").alias("s"))
     want = [("k", n, sum(w), n * 5 + 9) for n, w in enumerate(sequential(values, 10, 5))]
     assert rows(got) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("size,slide,lanes", [(10, 5, None), (7, 7, None), (100, 3, None), (6, 2, 3)])
+def test_numbered_stream_in_any_order(spark, size, slide, lanes):
+    """One busy key whose readings come in any order; every state holds a block of them at most."""
+    rng = random.Random(size)
+    values = [float(rng.randrange(100)) for _ in range(700)]
+    order = list(range(700))
+    rng.shuffle(order)
+    schema = "key string, n bigint, value double, ts timestamp"
+    folder, out, checkpoint = (fresh_dir(spark, f"numbered-{n}") for n in ("log", "out", "check"))
+    held = []
+    for part in (order[:300], [*order[290:500], -1], order[500:]):  # some come twice, and one without a value
+        frame = spark.createDataFrame([("k", max(i, 0), values[i] if i >= 0 else None) for i in part], "key string, n bigint, value double")
+        frame.withColumn("ts", F.timestamp_seconds("n")).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(schema).parquet(folder)
+        windows = scw.stream_count_window(stream, "key", "n", "value", size, slide, "sum", lanes=lanes, dense=True, block_readings=64)
+        run_stream(windows, out, checkpoint)
+        state = spark.read.format("statestore").load(checkpoint)
+        held.append([len(r[0]) for r in state.select("value.groupState.n").collect()])
+    assert max(map(max, held[:2])) <= max(64, size) + 2 * size and len(held[0]) >= 3
+    got = spark.read.parquet(out).select(*(["lane"] if lanes else []), "k", "value", F.unix_seconds("ts").alias("s"))
+    want = []
+    for lane in range(lanes or 1):
+        mine = list(range(lane, 700, lanes or 1))
+        windows = enumerate(sequential([values[i] for i in mine], size, slide))
+        want += [(*([lane] if lanes else []), k, sum(w), mine[k * slide + size - 1]) for k, w in windows]
+    assert rows(got) == sorted(want, key=str)

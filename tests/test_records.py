@@ -6,6 +6,7 @@ import time
 
 import pytest
 from conftest import rows
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallystream.functions import scalars as fn
@@ -22,6 +23,7 @@ def one(spark, column, **values):
 
 def test_scalars(spark):
     assert one(spark, fn.title_case("s"), s="alpha bETA c") == "Alpha BETA C"
+    assert one(spark, fn.title_case("s"), s="ßen ǆep ǅep ǳ ŉa ᾳx éa  İi 1a") == "ßen ǅep ǅep ǲ ŉa ᾼx Éa  İi 1a"
     assert one(spark, fn.percent_change("a", "b"), a=0.0, b=3.0) is None
     assert one(spark, fn.json_field("s", "k", "int"), s='{"k": "x"}') is None
     assert one(spark, fn.json_field("s", "k", "int"), s='{"k": "12"}') == 12
@@ -44,8 +46,8 @@ def test_decode_csv(spark):
     assert rows(good) == [("u1", "n", "e", "p", "STUDENT"), ("u2", "", "e", "p", "x")]
     assert rows(bad) == [("u1,n,e,p",), ("u2,,e,p,",)]
     course = spark.createDataFrame([("c1,Maths,7,TRUE",), ("c2,Art,x,no",)], "value string")
-    good, _ = rec.decode_csv(course, "value", rec.COURSE_FIELDS, ["string", "string", "int", "boolean"])
-    assert rows(good) == [("c1", "Maths", 7, True), ("c2", "Art", None, False)]
+    good, bad = rec.decode_csv(course, "value", rec.COURSE_FIELDS, ["string", "string", "int", "boolean"])
+    assert rows(good) == [("c1", "Maths", 7, True)] and rows(bad) == [("c2,Art,x,no",)]
 
 
 def test_events_there_and_back(spark):
@@ -145,47 +147,40 @@ def test_await_join_gives_up_on_missing_rows(spark):
     assert got[1] == "one" and got[2] is None
 
 
-COURSES = "seq bigint, type string, course_id bigint, name string, admin_id bigint"
+def test_tables_of_a_batch_come_together_or_not_at_all(spark):
+    path = fresh_dir(spark, "together")
+    grades = spark.createDataFrame([("s1", 20), ("s2", 30)], "student string, grade int")
+    done = spark.createDataFrame([("s1", "c1")], "student string, course string")
+    srun.write_tables_once({"grades": grades, "done": done}, 0, path)
 
+    def fails(batches):
+        yield from batches
+        raise ValueError("lost after the first half")
 
-def test_state_tables_restart_and_replay(spark):
-    folder, path, checkpoint = (fresh_dir(spark, n) for n in ("clog", "cstate", "ccheck"))
+    broken = done.mapInPandas(fails, done.schema)
+    with pytest.raises(Exception, match="lost after"):
+        srun.write_tables_once({"grades": grades, "done": broken}, 1, path)
+    assert srun.read_table(spark, path, "grades").count() == 2 and srun.read_table(spark, path, "done").count() == 1
+    for _ in range(2):  # the batch itself, and once more
+        srun.write_tables_once({"grades": grades, "done": done}, 1, path)
+    assert rows(srun.read_table(spark, path, "grades").select("student", "grade")) == [("s1", 20), ("s1", 20), ("s2", 30), ("s2", 30)]
+    assert rows(srun.read_table(spark, path, "done").select("student", "course")) == [("s1", "c1")] * 2
 
-    def add(*events):
-        spark.createDataFrame(list(events), COURSES).coalesce(1).write.mode("append").parquet(folder)
 
-    def drain():
-        stream = spark.readStream.schema(COURSES).option("maxFilesPerTrigger", 1).parquet(folder)
-        query = sev.maintain_tables(stream, path, checkpoint, ["courses"], ["seq"], buckets=4)
-        return query.lastProgress["batchId"]
-
-    add((1, "CREATE", 1, "a", 7), (2, "CREATE", 2, "b", 7))
-    add((3, "DELETE", 1, None, None))
-    drain()
-    add((4, "CREATE", 1, "again", 8), (5, "DELETE", 2, None, None), (6, "CREATE", 3, "c", 9))
-    last = drain()
-    want = [(1, "again", 8, False, 2), (2, "b", 7, True, 1), (3, "c", 9, False, 1)]
-    assert rows(sev.read_state(spark, path, "courses", last)) == want
-    # the last micro-batch once more, as after a crash before its commit
-    batch = spark.createDataFrame(
-        [(4, "CREATE", 1, "again", 8), (5, "DELETE", 2, None, None), (6, "CREATE", 3, "c", 9)], COURSES
-    )
-    sev._apply(batch, last, f"{path}", "courses", ["seq"], 4)
-    assert rows(sev.read_state(spark, path, "courses", last)) == want
-
-
-VOTES = "seq bigint, type string, student string, course string, project string, grade int"
-
-
-def test_votes_across_batches(spark):
-    log = _files(
-        spark,
-        VOTES,
-        [(1, "SUBMIT", "s1", "c", "p", None), (2, "RATE", "s2", "c", "p", 20)],
-        [(3, "RATE", "s1", "c", "p", 15), (4, "RATE", "s1", "c", "p", 30), (5, "SUBMIT", "s2", "c", "p", None)],
-        [(6, "RATE", "s1", "c", "p", 30), (7, "RATE", "s2", "c", "p", 18), (8, "SUBMIT", "s2", "c", "p", None)],
-    )
-    path = fresh_dir(spark, "votes")
-    query = sev.maintain_tables(log, path, fresh_dir(spark, "votes-checkpoint"), ["votes"], buckets=4)
-    got = sev.read_state(spark, path, "votes", query.lastProgress["batchId"])
-    assert rows(got) == [("s1", "c", "p", 15), ("s2", "c", "p", -1)]
+def test_resume_goes_on_from_the_checkpoint(spark):
+    schema = "id bigint, ts timestamp"
+    parts = [[(i, T0 + dt.timedelta(minutes=i)) for i in range(a, a + 6)] for a in (0, 4, 8)]  # they overlap
+    out, checkpoint, tries = fresh_dir(spark, "resume-out"), fresh_dir(spark, "resume-checkpoint"), []
+
+    def step(batch, batch_id):
+        srun.write_batch_once(batch, batch_id, out)
+        tries.append(batch_id)
+        if tries.count(batch_id) == 1 and not batch.isEmpty():
+            raise RuntimeError("lost")
+
+    once = sev.stream_dedup(_files(spark, schema, *parts), ["id"], "ts", "1 hour")
+    srun.resume(lambda: srun.run_batches(once, step, checkpoint), attempts=9)
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(14))
+    with pytest.raises(StreamingQueryException):
+        tries.clear()
+        srun.resume(lambda: srun.run_batches(once, step, fresh_dir(spark, "resume-again")), attempts=1)
