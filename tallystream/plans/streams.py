@@ -35,6 +35,7 @@ from tallystream.streaming import trends as strd
 
 
 FILE_ROWS = 1_000_000
+VOTE_BUCKETS = 128
 
 
 def _session(spark: SparkSession) -> SparkSession:
@@ -260,7 +261,7 @@ def _user_table(spark: SparkSession, log: DataFrame) -> DataFrame:
 def _course_table(spark: SparkSession, log: DataFrame) -> DataFrame:
     events = log.filter(F.col("type").isin("CREATE", "DELETE")).withColumnRenamed("course_id", "course")
     none = {c: F.lit(None).cast(kind) for c, kind in (("student", "bigint"), ("project", "string"), ("grade", "int"))}
-    path = _kept(events.withColumns(none), lambda stream, *to: sst.maintain_tables(stream, *to, t.OFFER_ORDER, salts=1))  # no students here
+    path = _kept(events.withColumns(none), lambda stream, *to: sst.maintain_tables(stream, *to, t.OFFER_ORDER, salts=1, buckets=8))  # no students here
     return sst.courses(spark, path, ["name", "admin_id"])
 
 
@@ -313,7 +314,7 @@ def streaming_vote_state(spark, d):
     log = t.work_log(own, d)
 
     def run(stream, path, checkpoint):
-        changes = sst.fold_cells(stream, t.WORK_ORDER)
+        changes = sst.fold_cells(stream, t.WORK_ORDER, VOTE_BUCKETS)
         srun.run_stream(changes, f"{path}/tables", checkpoint, partition_by=["table"])
 
     voted = sst.votes(sst.read_changes(own, _kept(log, run), "history")).drop("incarnation")
@@ -336,7 +337,7 @@ def streaming_enrolment_state(spark, d):
 
 def _campus(spark: SparkSession, d: str) -> str:
     """Courses that are deleted and made anew, with all that happens in them."""
-    return _kept(t.campus_log(spark, d), lambda stream, *to: sst.maintain_tables(stream, *to, t.CAMPUS_ORDER, salts=8))
+    return _kept(t.campus_log(spark, d), lambda stream, *to: sst.maintain_tables(stream, *to, t.CAMPUS_ORDER, salts=8, buckets=32))
 
 
 def _enrolled(spark: SparkSession, d: str, path: str) -> DataFrame:

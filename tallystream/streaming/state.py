@@ -1,7 +1,7 @@
 """State tables kept current from an event log, with the state in Spark's own state store.
 
 ``meet_courses`` tells every event which course object it meets, ``fold_cells`` folds the events
-of one student and course; both are stateful operators. What comes out is a change log with one
+of students and courses; both are stateful operators. What comes out is a change log with one
 partition per table (``TABLES``), where a micro-batch becomes visible as a whole, for all tables
 at once. The tables are read as the latest change of each key.
 
@@ -14,6 +14,7 @@ type needs, are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,7 +30,8 @@ WORK = ("SUBMIT", "RATE")
 # Tables of the change log.
 TABLES = ("courses", "projects", "enrolments", "history", "completions")
 SALTS = 64
-OWN = ("salt", "incarnation", "n_open", "table", "step", "old_vote", "new_vote")
+BUCKETS = 256
+OWN = ("salt", "bucket", "incarnation", "n_open", "table", "step", "old_vote", "new_vote")
 
 
 def _kind(df: DataFrame, column: str) -> str:
@@ -122,30 +124,113 @@ def meet_courses(log: DataFrame, order: Sequence[str] = ("seq",), salts: int = S
     return met.withColumns({c: F.col(c).cast(kinds[c]) for c in text})
 
 
-def _fold(held: dict, kind: str, project: str | None, grade: int | None) -> tuple[str, int | None, int | None] | None:
-    """Apply one event to the cells of a student and course; what it changed, or None."""
-    if kind == "ENROLL":
-        if held["enrolled"]:
-            return None
-        held["enrolled"] = True
-        return "enrolments", None, None
-    old = held["votes"].get(project, NOT_SUBMITTED)
-    if kind == "RATE" and old != SUBMITTED:
-        return None
-    new = SUBMITTED if kind == "SUBMIT" else grade
-    held["votes"][project] = new
-    held["passes"] += int(new >= PASS_GRADE) - int(old >= PASS_GRADE)
-    return "history", old, new
-
-
-def fold_cells(events: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
+def _starts(codes: np.ndarray) -> np.ndarray:
+    """Where a new code begins, in sorted codes."""
+    return np.concatenate([np.ones(min(1, len(codes)), bool), codes[1:] != codes[:-1]])
+
+
+def _earlier(values: np.ndarray, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The value before each one of the same code, in sorted codes; ``first`` where there is none."""
+    return np.where(_starts(codes), first, np.roll(values, 1))
+
+
+class _Held(NamedTuple):
+    """State of a bucket: its students' courses, and their cells."""
+
+    keys: list[str]
+    numbers: list[int]  # incarnations
+    enrolled: list[bool]
+    passes: list[int]
+    done: list[bool]
+    owners: list[int]  # of a cell: place in ``keys``
+    projects: list[str]
+    votes: list[int]
+    steps: int  # changes so far
+
+
+_HELD = (
+    "keys array<string>, numbers array<bigint>, enrolled array<boolean>, passes array<bigint>, done array<boolean>, "
+    "owners array<bigint>, projects array<string>, votes array<bigint>, steps bigint"
+)
+
+
+def _fold(rows: pd.DataFrame, held: _Held) -> tuple[list[tuple], _Held]:
+    """Apply the events of a bucket, which are in order: the changes (place, table, step, old vote, new
+    vote), and the new state."""
+    kind, project = rows["type"].to_numpy(object), rows["project"].to_numpy(object)
+    sized = lambda c: rows[c].str.len().astype(str) + ":" + rows[c]
+    key = np.concatenate([np.asarray(held.keys, object), (sized("student") + sized("course")).to_numpy(object)])
+    number = np.concatenate([np.asarray(held.numbers, np.int64), rows["incarnation"].to_numpy(np.int64)])
+    code, names = pd.factorize(key)
+    ids, first, pair = np.unique(np.stack([code, number]), axis=1, return_index=True, return_inverse=True)
+    known, pair = pair.reshape(-1)[: len(held.keys)], pair.reshape(-1)[len(held.keys) :]
+
+    def start(values: list, of: type) -> np.ndarray:
+        out = np.zeros(ids.shape[1], of)
+        out[known] = values
+        return out
+
+    enrolled, passes, done = start(held.enrolled, bool), start(held.passes, np.int64), start(held.done, bool)
+    joins = np.flatnonzero(kind == "ENROLL")
+    joins = joins[np.unique(pair[joins], return_index=True)[1]]
+    joins = joins[~enrolled[pair[joins]]]
+    enrolled[pair[joins]] = True
+    found = [(i, "enrolments", held.steps, None, None) for i in joins.tolist()]
+
+    work = np.flatnonzero(np.isin(kind, WORK))
+    task, tasks = pd.factorize(np.concatenate([np.asarray(held.projects, object), project[work]]))
+    owner = np.concatenate([known[np.asarray(held.owners, np.int64)], pair[work]])
+    cells, cell = np.unique(np.stack([owner, task]), axis=1, return_inverse=True)
+    old_cell, cell = cell.reshape(-1)[: len(held.owners)], cell.reshape(-1)[len(held.owners) :]
+    vote = np.full(cells.shape[1], NOT_SUBMITTED, np.int64)
+    vote[old_cell] = held.votes
+    # a rating counts right after a submission; every other one finds its cell not submitted, or rated
+    work, cell = work[np.argsort(cell, kind="stable")], np.sort(cell)
+    submit = kind[work] == "SUBMIT"
+    counted = submit | _earlier(submit, cell, vote[cell] == SUBMITTED)
+    work, cell, submit = work[counted], cell[counted], submit[counted]
+    new = np.full(len(work), SUBMITTED)
+    new[~submit] = rows["grade"].to_numpy()[work[~submit]]
+    old = _earlier(new, cell, vote[cell])
+    vote[cell] = new  # of a cell, the last one stays
+    steps = held.steps + 1 + np.arange(len(work))  # rising in a cell
+    found += zip(work.tolist(), ["history"] * len(work), steps.tolist(), old.tolist(), new.tolist())
+
+    along = np.lexsort((work, pair[work]))
+    work, who = work[along], pair[work[along]]
+    gain = ((new >= PASS_GRADE).astype(np.int64) - (old >= PASS_GRADE))[along]
+    total, begins = np.cumsum(gain), np.flatnonzero(_starts(who))
+    running = passes[who] + total - np.repeat(total[begins] - gain[begins], np.diff([*begins, len(who)]))
+    complete = np.flatnonzero((kind[work] == "RATE") & (running == rows["n_open"].to_numpy()[work]) & ~done[who])
+    complete = complete[np.unique(who[complete], return_index=True)[1]]
+    done[who[complete]] = True
+    found += [(i, "completions", held.steps, None, None) for i in work[complete].tolist()]
+    passes[who] = running  # of a student and course, the last one stays
+
+    # a new incarnation takes the place of the one before
+    last = np.ones(ids.shape[1], bool)
+    last[:-1] = ids[0, 1:] != ids[0, :-1]
+    place = np.cumsum(last) - 1
+    stays = last[cells[0]]
+    state = _Held(
+        names[ids[0, last]].tolist(), ids[1, last].tolist(), enrolled[last].tolist(), passes[last].tolist(), done[last].tolist(),
+        place[cells[0, stays]].tolist(), tasks[cells[1, stays]].tolist(), vote[stays].tolist(), held.steps + len(steps),
+    )
+    return found, state
+
+
+def fold_cells(events: DataFrame, order: Sequence[str] = ("seq",), buckets: int = BUCKETS) -> DataFrame:
     """The change log of what ``meet_courses`` lets through: table, the columns of the events, step,
     old_vote, new_vote.
 
     Per (student, course): the first ENROLL; every change of a cell with the vote before and after
     it; the first accepted rating after which all open projects are passed. A new incarnation
     empties all of it. Events without ``incarnation`` and ``n_open`` belong to one course for all time,
-    which nobody completes. The state of a group is a vote per project.
+    which nobody completes.
+
+    Students and courses are kept in ``buckets`` states, each of which is folded with array
+    operations; a micro-batch rewrites the states it touches. Take as many buckets as leave some
+    hundred students and courses to each; the number is fixed for the life of a checkpoint.
     """
     for c, none in (("incarnation", 0), ("n_open", -1)):
         if c not in events.columns:
@@ -154,48 +239,37 @@ def fold_cells(events: DataFrame, order: Sequence[str] = ("seq",)) -> DataFrame:
     text = [c for c in events.columns if c not in order and c not in ("type", "grade", "seq", "incarnation", "n_open")]
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = _in_order(batches, ["incarnation", *order])
-        if group[0] is None:  # changes of a course
-            named = np.where(rows["type"] == "PROJECT", "projects", "courses")
-            yield rows[list(kinds)].assign(table=named, step=0, old_vote=None, new_vote=None)
+        rows = _in_order(batches, ["incarnation", *order])[list(kinds)].reset_index(drop=True)
+        named = rows["student"].notna().to_numpy()
+        if not named.all():  # changes of a course
+            others = rows[~named]
+            tables = np.where(others["type"] == "PROJECT", "projects", "courses")
+            yield others.assign(table=tables, step=0, old_vote=pd.array([None] * len(others), "Int64"), new_vote=pd.array([None] * len(others), "Int64"))
+            rows = rows[named].reset_index(drop=True)
+        if rows.empty:
             return
-        if state.exists:
-            number, at, enrolled, passes, done, names, votes = state.get
-            held = {"enrolled": enrolled, "passes": passes, "done": done, "votes": dict(zip(names, votes))}
-        else:
-            number, at, held = -1, 0, {}
-        places, tables, steps, olds, news = [], [], [], [], []
-        columns = (rows[c].tolist() for c in ("type", "project", "grade", "incarnation", "n_open"))
-        for i, (kind, project, grade, incarnation, n_open) in enumerate(zip(*columns)):
-            if incarnation != number:
-                number, at, held = incarnation, 0, {"enrolled": False, "passes": 0, "done": False, "votes": {}}
-            changed = _fold(held, kind, project, int(grade) if kind == "RATE" else None)
-            if changed is None:
-                continue
-            at += 1
-            places.append(i), tables.append(changed[0]), steps.append(at), olds.append(changed[1]), news.append(changed[2])
-            if kind == "RATE" and not held["done"] and held["passes"] == n_open:
-                held["done"] = True
-                places.append(i), tables.append("completions"), steps.append(at), olds.append(None), news.append(None)
-        state.update((number, at, held["enrolled"], held["passes"], held["done"], list(held["votes"]), list(held["votes"].values())))
-        if places:
-            out = {c: rows[c].to_numpy()[places] for c in kinds}
-            yield pd.DataFrame(out | {"table": tables, "step": steps, "old_vote": pd.array(olds, "Int64"), "new_vote": pd.array(news, "Int64")})
+        found, after = _fold(rows, _Held(*state.get) if state.exists else _Held([], [], [], [], [], [], [], [], 0))
+        state.update(tuple(after))
+        if found:
+            places, tables, steps, olds, news = zip(*found)
+            yield rows.iloc[list(places)].assign(table=tables, step=steps, old_vote=pd.array(olds, "Int64"), new_vote=pd.array(news, "Int64"))
 
     columns = ", ".join(f"{c} {'string' if c in text else k}" for c, k in kinds.items())
-    held = "number bigint, step bigint, enrolled boolean, passes bigint, done boolean, names array<string>, votes array<bigint>"
+    bucket = F.pmod(F.xxhash64("student", "course"), F.lit(buckets)).cast("int")
     folded = (
-        _as_text(events, text)
-        .groupBy("student", "course")
+        _as_text(events.filter("type <> 'RATE' or grade is not null"), text)
+        .withColumn("bucket", bucket)
+        .groupBy("bucket")
         .applyInPandasWithState(
-            step, f"{columns}, table string, step bigint, old_vote int, new_vote int", held, "append", GroupStateTimeout.NoTimeout
+            step, f"{columns}, table string, step bigint, old_vote int, new_vote int", _HELD, "append", GroupStateTimeout.NoTimeout
         )
     )
     return folded.withColumns({c: F.col(c).cast(kinds[c]) for c in text})
 
 
 def maintain_tables(
-    log: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ("seq",), salts: int = SALTS, available_now: bool = True
+    log: DataFrame, path: str, checkpoint: str, order: Sequence[str] = ("seq",), salts: int = SALTS, buckets: int = BUCKETS,
+    available_now: bool = True,
 ) -> list[StreamingQuery]:
     """Fold a log stream into the change log under ``path``.
 
@@ -210,7 +284,7 @@ def maintain_tables(
     if not available_now:
         first.processAllAvailable()  # so that there is a folder to read
     stream = log.sparkSession.readStream.schema(met.schema).parquet(f"{path}/met")
-    second = run_stream(fold_cells(stream, order), f"{path}/tables", f"{checkpoint}/tables", available_now, partition_by=["table"])
+    second = run_stream(fold_cells(stream, order, buckets), f"{path}/tables", f"{checkpoint}/tables", available_now, partition_by=["table"])
     return [first, second]
 
 
