@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallystream.llm.ranks import ranked, stored_with_parts
 from tallystream.llm.tokens import VOCABULARY, encoder
-from tallystream.llm.words import as_bytes, in_arrow, slices
+from tallystream.llm.words import in_arrow, slices
 
 LIMIT = 2048
 END = 1
@@ -38,7 +38,7 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
         for batch, begin, stop in slices(batches, 1, SLICE_BYTES):
-            ids, counts = encode(as_bytes(batch.column(1).slice(begin, stop - begin)))
+            ids, counts = encode(batch.column(1).slice(begin, stop - begin))
             ids = np.insert(ids, np.cumsum(counts), END).astype("<u4")
             doc, start, length, crc, total, own = [], [], [], [], [], []
             at = 0

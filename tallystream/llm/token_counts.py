@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallystream.llm.tokens import VOCABULARY, encoder
-from tallystream.llm.words import as_bytes, in_arrow, slices
+from tallystream.llm.words import in_arrow, slices
 from tallystream.session import cut_lineage
 
 SLICE_BYTES = 1_000_000
@@ -29,7 +29,7 @@ def with_token_counts(docs: DataFrame, text: str = "text", vocabulary: str = VOC
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
         for batch, start, stop in slices(batches, 0, SLICE_BYTES):
-            counts = encode(as_bytes(batch.column(0).slice(start, stop - start)))[1]
+            counts = encode(batch.column(0).slice(start, stop - start))[1]
             yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64())], ["n_tokens"])
 
     return docs.select(F.col(text).alias("text")).transform(in_arrow, run, "n_tokens long", keeps=True)

@@ -1,7 +1,9 @@
 """Token ids of a public BPE vocabulary inside a task, encoding each distinct word once.
 
 The vocabulary drops white space and never merges across it, so the ids of a text are those
-of its words in order. A worker keeps the words it has met, up to ``CACHED`` of them.
+of its words in order. It also ignores case, and marks behind a word of letters are tokens of
+their own; so texts are lower-cased and such marks split off before words are told apart, which
+leaves a fraction of the distinct words. A worker keeps the words it has met, up to ``CACHED``.
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from tallystream.llm.words import KEPT
@@ -24,6 +28,7 @@ JOINED = 256
 _LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-įĲ-ɏ]+")
 # Marks that form a token run of their own after a letter.
 _MARKS = ".,:;!?*#$%&|"
+_TAILED = rf"([{_LETTERS.pattern[1:-2]}])([{_MARKS}]+)([ \t-\r]|$)"
 
 
 class WordEncoder:
@@ -86,20 +91,21 @@ class WordEncoder:
             self._add(word, self._ids_of(core) + self._ids_of(tail) if tail else self._ids_of(core))
         self._encode_each([w for w in odd if w not in self.known])
 
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and how many each text has. Give it a few MB at a time."""
-        split = [(t or b"").split() for t in texts]
-        words = [w for s in split for w in s]
+        split = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), _TAILED, r"\1 \2\3"))
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > CACHED:
             self._forget()
-        if unknown := set(words).difference(self.known):
+        if unknown := set(distinct).difference(self.known):
             self._learn(unknown)
-        at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[words.indices.to_numpy()]
         start, length = np.frombuffer(self.start, np.int64)[at], np.frombuffer(self.length, np.int64)[at]
         upto = np.concatenate([[0], np.cumsum(length)])
         where = np.repeat(start - upto[:-1], length) + np.arange(upto[-1])
         ids = np.frombuffer(self.flat, np.int32)[where] if len(where) else np.empty(0, np.int32)
-        edges = np.concatenate([[0], np.cumsum([len(s) for s in split])]).astype(np.int64)
+        edges = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]).astype(np.int64)
         return ids, np.diff(upto[edges])
 
 

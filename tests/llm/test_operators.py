@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -293,7 +294,7 @@ def test_account_numbers_in_running_text(spark):
 def test_ids_are_those_of_the_whole_text():
     e = encoder()
     texts = ["Hello, World's end!! İstanbul été, ΣΑΣ...", "don't <|endoftext|>x 12 a1b2,c é!?", "", "  ", "naïve\x0bĿ·x ǅ ŉ 'tis we'll, x'", "日本語 テスト。", LONG[:5000]]
-    ids, counts = e.encode([t.encode() for t in texts])
+    ids, counts = e.encode(pa.array(texts))
     plain = [e.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert counts.tolist() == [len(p) for p in plain] and ids.tolist() == [i for p in plain for i in p]
 
