@@ -34,17 +34,13 @@ BUCKETS = 256
 OWN = ("salt", "bucket", "incarnation", "n_open", "table", "step", "old_vote", "new_vote")
 
 
-def _kind(df: DataFrame, column: str) -> str:
-    return df.schema[column].dataType.simpleString()
-
-
 def _as_text(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Ids travel through pandas as text, where a null would turn a number into a float."""
     return df.withColumns({c: F.col(c).cast("string") for c in columns})
 
 
 def _in_order(batches: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame:
-    """The rows of a group by ``order``, nulls first. Groups are many and small, so numbers are sorted without pandas."""
+    """The rows of a group by ``order``, nulls first."""
     parts = list(batches)
     rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
     if len(rows) == 1:
