@@ -3,7 +3,6 @@
 import re
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from tallystream.llm import license_scan as ls
 from tallystream.llm import queries
