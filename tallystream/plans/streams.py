@@ -36,6 +36,7 @@ from tallystream.streaming import trends as strd
 
 FILE_ROWS = 1_000_000
 VOTE_BUCKETS = 128
+GROUP_ROWS = 50_000  # of a micro-batch in one group of a stateful operator
 
 
 def _session(spark: SparkSession) -> SparkSession:
@@ -241,17 +242,29 @@ def _in_parts(log: DataFrame, parts: int = 3) -> list[DataFrame]:
     return [log.filter(after(a) & until(b)) for a, b in zip(edges, edges[1:])]
 
 
-def _kept(log: DataFrame, run) -> str:
+def _kept(log: DataFrame, run, **groups: tuple[int, tuple[str, ...]]) -> str:
     """The log comes in part by part; ``run(stream, path, checkpoint)`` is started anew for each of
-    them and goes on from its checkpoint. Returns the path of what it keeps."""
+    them and goes on from its checkpoint. Returns the path of what it keeps.
+
+    ``groups``: numbers of groups that ``run`` also takes, each as the least number and the key whose
+    events are dealt to so many groups; there are more where a part holds more than
+    ``GROUP_ROWS`` events of one key for each.
+    """
     spark = log.sparkSession
     folder, path, checkpoint = (fresh_dir(spark, f"state-{n}") for n in ("log", "tables", "checkpoint"))
-    for part in _in_parts(log):
+    parts = _in_parts(log)
+    wanted = {name: max(least, *(-(-_most(part, key) // GROUP_ROWS) for part in parts)) for name, (least, key) in groups.items()}
+    for part in parts:
         part.write.mode("append").parquet(folder)
-        run(spark.readStream.schema(log.schema).parquet(folder), path, checkpoint)
+        run(spark.readStream.schema(log.schema).parquet(folder), path, checkpoint, **wanted)
     return path
 
 
+def _most(log: DataFrame, key: tuple[str, ...]) -> int:
+    """Rows of the key that has most of them."""
+    return log.groupBy(*key).count().agg(F.max("count")).first()[0] or 0
+
+
 def _user_table(spark: SparkSession, log: DataFrame) -> DataFrame:
     users = log.select("user_id", "seq", "tie", "name", "email", "role")
     path = _kept(users, lambda stream, *to: sst.maintain_latest(stream, ["user_id"], ["seq", "tie"], *to))
@@ -313,11 +326,11 @@ def streaming_vote_state(spark, d):
     own = _session(spark)
     log = t.work_log(own, d)
 
-    def run(stream, path, checkpoint):
-        changes = sst.fold_cells(stream, t.WORK_ORDER, VOTE_BUCKETS)
+    def run(stream, path, checkpoint, buckets):
+        changes = sst.fold_cells(stream, t.WORK_ORDER, buckets)
         srun.run_stream(changes, f"{path}/tables", checkpoint, partition_by=["table"])
 
-    voted = sst.votes(sst.read_changes(own, _kept(log, run), "history")).drop("incarnation")
+    voted = sst.votes(sst.read_changes(own, _kept(log, run, buckets=(VOTE_BUCKETS, ())), "history")).drop("incarnation")
     cells = log.select(*lg.CELL).distinct()
     return cells.join(voted, lg.CELL, "left").fillna(NOT_SUBMITTED, ["vote"])
 
@@ -337,7 +350,11 @@ def streaming_enrolment_state(spark, d):
 
 def _campus(spark: SparkSession, d: str) -> str:
     """Courses that are deleted and made anew, with all that happens in them."""
-    return _kept(t.campus_log(spark, d), lambda stream, *to: sst.maintain_tables(stream, *to, t.CAMPUS_ORDER, salts=8, buckets=32))
+
+    def run(stream, path, checkpoint, salts, buckets):
+        sst.maintain_tables(stream, path, checkpoint, t.CAMPUS_ORDER, salts, buckets)
+
+    return _kept(t.campus_log(spark, d), run, salts=(8, ("course",)), buckets=(32, ()))
 
 
 def _enrolled(spark: SparkSession, d: str, path: str) -> DataFrame:
