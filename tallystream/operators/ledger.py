@@ -24,9 +24,11 @@ from tallystream.operators.ordered import (
     running_sum,
     slice_by_order,
 )
-from tallystream.operators.sizing import broadcast_if_small
+from tallystream.operators.sizing import BROADCAST_ROWS, broadcast_if_small
+from tallystream.session import cut_lineage
 
 CELL = ["student", "course", "project"]
+FEW_TURNS = 64
 
 
 # -- log ------------------------------------------------------------------------------
@@ -127,9 +129,19 @@ def by_incarnation(
 
     ``log`` has the CREATE and DELETE events (``course``, ``type`` and the ``order`` columns).
     Each of them ends what was before, and a CREATE begins a new, empty course, so the running
-    count of both is the number of the object.
+    count of both is the number of the object. Where a course has at most ``FEW_TURNS`` of them and all
+    fit a broadcast, events stay where they are and look up the span of the order they are in.
     """
     turns = log.filter(F.col("type").isin("CREATE", "DELETE")).select(course, "type", *order)
+    most, all_ = turns.groupBy(course).count().agg(F.max("count"), F.sum("count")).first()
+    if not all_ or (most <= FEW_TURNS and all_ <= BROADCAST_ROWS):
+        at, along = F.struct(*order), Window.partitionBy(course).orderBy(*order)
+        spans = turns.select(
+            F.col(course).alias("__course"), "type", at.alias("__from"), F.lead(at).over(along).alias("__to"),
+            F.row_number().over(along).cast("long").alias("incarnation"),
+        ).filter(F.col("type") == "CREATE").drop("type")
+        met = (F.col(course) == F.col("__course")) & (at >= F.col("__from")) & (F.col("__to").isNull() | (at < F.col("__to")))
+        return events.join(F.broadcast(spans), met).drop("__course", "__from", "__to")
     numbered = number_rows(turns, course, order, "__turn", hot_rows)
     created = numbered.filter(F.col("type") == "CREATE").select(course, (F.col("__turn") + 1).alias("incarnation"))
     marked = events.withColumn("__turn", F.lit(0)).unionByName(
@@ -231,7 +243,10 @@ def grade_state(
 
 
 def _history(events: DataFrame, order: Sequence[str], hot_rows: int) -> tuple[DataFrame, bool]:
+    events = cut_lineage(events)  # counted, then folded
     sliced, many = slice_by_order(events, ["student", "course"], order, hot_rows)
+    if not many:
+        sliced = sliced.repartition("student", "course")  # serves all windows
     told = previous_in_slices(sliced, many, CELL, order, {"__before": F.col("type")})
     # after a SUBMIT the next RATE counts, every further one finds the cell rated
     counted = told.filter(

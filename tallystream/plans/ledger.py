@@ -481,7 +481,7 @@ REBORN_COMPLETIONS_SQL = _sql(
 @query("reborn_completions", REBORN_COMPLETIONS_SQL)
 def reborn_completions(spark, d):
     """Passes count within one incarnation; a completion outlives it."""
-    life = t.course_life(spark, d).withColumnRenamed("course_id", "course")
+    life = cut_lineage(t.course_life(spark, d).withColumnRenamed("course_id", "course"))
 
     def tagged(log):
         return lg.by_incarnation(log, life, LIFE_ORDER)

@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import functions as F
 
 from tallystream.operators import campus
@@ -240,3 +240,34 @@ def test_password_is_never_read_out(spark):
     users = spark.createDataFrame([("u", "n", "e", "pw", "STUDENT")], "user_id string, name string, email string, password string, role string")
     got = campus.registered_users(campus.State(users=users, courses=None))
     assert got.columns == ["user_id", "name", "email", "role"]
+
+
+def test_events_look_up_the_course_they_meet_where_turns_are_few(spark, monkeypatch):
+    turns = spark.createDataFrame(
+        [(1, "CREATE", "a"), (1, "CREATE", "a"), (5, "DELETE", "a"), (9, "CREATE", "a"), (2, "DELETE", "b"), (None, "CREATE", "c"), (3, "CREATE", None)],
+        "seq bigint, type string, course string",
+    )
+    events = spark.createDataFrame(
+        [(i, c, i % 3) for i in (0, 3, 6, 10, None) for c in ("a", "b", "c", "d", None) if i is not None] + [(None, "a", 7)], "seq bigint, course string, n int"
+    )
+    columns = ["course", "seq", "n", "incarnation"]
+    few = lg.by_incarnation(events, turns, ["seq"])
+    plan = plan_of(few)
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1  # that of the turns
+    monkeypatch.setattr(lg, "FEW_TURNS", 0)
+    assert rows(few.select(*columns)) == rows(lg.by_incarnation(events, turns, ["seq"]).select(*columns))
+
+
+def test_events_are_read_and_dealt_once_for_all_windows(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    events = work(spark, [(1, "SUBMIT", "s", "c", "p", None), (2, "RATE", "s", "c", "p", 20)])
+    projects = spark.createDataFrame([("c", "p", 0)], "course string, project string, seq bigint")
+    out = lg.completions(events.mapInArrow(count, events.schema), projects)
+    assert rows(out.select("student", "course", "done_at")) == [("s", "c", 2)]
+    assert seen.value == 2
